@@ -204,7 +204,7 @@ def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "split")
     rv.write_split(_evaluated(spark, sf_dir), path)
     written = spark.read.parquet(path)
-    return written.groupBy("needs_review", "detected").agg(F.count(F.lit(1)).alias("documents"))
+    return written.groupBy("queue", "detected").agg(F.count(F.lit(1)).alias("documents"))
 
 
 # Answer key

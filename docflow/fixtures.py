@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.certificate import MARKER_A, MARKER_B, MARKER_C
+from docflow.operators.frames import settled
 
 UNIT_TYPES = ("Traction Passenger", "Hydraulic Passenger", "Freight", "Escalator")
 FOOTER = "SPECIMEN - rendered from a test table, not a real record\n"
@@ -189,7 +190,8 @@ def render(facts: DataFrame) -> DataFrame:
         .when(template == "both", F.concat(_text_a(), F.lit("\n"), _text_b()))
         .otherwise(F.concat(F.lit("Delivery note\n\nUnit ID: "), "unit_id", F.lit("\n")))
     )
-    return facts.select("file", text.alias("text"))
+    # Settled, so that filters on the text are not moved into its rendering.
+    return settled(facts.select("file", text.alias("text")))
 
 
 def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,13 +17,24 @@ from pyspark.sql import functions as F
 FLAGS = "(?mdU)"
 
 
-def pattern(regex: str) -> Column:
-    return F.lit(FLAGS + regex)
+def lines(text: Column) -> Column:
+    """``text`` as a sequence of lines that each follow a ``\\n``, for ``first_match``."""
+    return F.concat(F.lit("\n"), text)
+
+
+def starts_line(regex: str) -> bool:
+    return regex.startswith("^")
 
 
 def first_match(text: Column, regex: str, group: int) -> Column:
-    """Group ``group`` of the first match, ``''`` if there is none."""
-    return F.regexp_extract(text, FLAGS + regex, group)
+    """Group ``group`` of the first match, ``''`` if there is none.
+
+    For a pattern that starts with ``^`` give ``lines(text)``. The line start is
+    then matched as the ``\\n`` before it: a pattern that begins with a literal is
+    searched for in leaps, one that begins with ``^`` is tried at every character.
+    """
+    found = r"\n" + regex[1:] if starts_line(regex) else regex
+    return F.regexp_extract(text, FLAGS + found, group)
 
 
 def strip(text: Column) -> Column:
@@ -69,13 +80,8 @@ def address_state(line: Column) -> Column:
 
 def section_count(text: Column, heading: str, bullet: str) -> Column:
     """Lines matching ``bullet`` from the first ``heading`` on; no heading is 0."""
-    start = F.instr(text, heading)
-    section = F.substr(text, start)
-    return (
-        F.when(start > 0, F.regexp_count(section, pattern(bullet)))
-        .otherwise(0)
-        .cast("bigint")
-    )
+    section = F.regexp_extract(text, rf"\Q{heading}\E[\s\S]*", 0)
+    return F.regexp_count(section, F.lit(FLAGS + bullet)).cast("bigint")
 
 
 def present(*values: Column) -> Column:

@@ -29,6 +29,18 @@ def is_layout(docs: DataFrame, layout: str, spec: Spec = CERTIFICATES) -> DataFr
     return docs.filter(has_marker(F.col("text"), spec, layout))
 
 
+def only_layouts(
+    docs: DataFrame, layouts: tuple[str, ...], spec: Spec = CERTIFICATES
+) -> DataFrame:
+    """The documents classified as one of ``layouts``, told by the markers alone."""
+
+    def sole(name: str) -> Column:
+        others = [~has_marker(F.col("text"), spec, o.name) for o in spec.layouts if o.name != name]
+        return reduce(lambda a, b: a & b, others, has_marker(F.col("text"), spec, name))
+
+    return docs.filter(reduce(lambda a, b: a | b, [sole(name) for name in layouts]))
+
+
 def classify(docs: DataFrame, spec: Spec = CERTIFICATES) -> DataFrame:
     """Add ``matched``, ``layout``, ``status`` and ``detected`` to ``(file, text)``."""
     require_columns(docs, ("file", "text"), "the document frame")

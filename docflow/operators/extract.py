@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docflow.certificate import CERTIFICATES
 from docflow.functions import text as tx
-from docflow.operators.classify import AMBIGUOUS, UNKNOWN, classify
+from docflow.operators.classify import AMBIGUOUS, UNKNOWN, classify, only_layouts
 from docflow.operators.frames import require_columns, settled, unpivot_fields
 from docflow.spec import Layout, Rule, Spec
 
@@ -42,9 +42,17 @@ def _shared(layout: Layout) -> dict[str, tuple[str, int]]:
     return shared
 
 
+def _source(pattern: str) -> Column:
+    return F.col("_lines" if tx.starts_line(pattern) else "text")
+
+
 def _picked(rule: Rule, layout: Layout) -> Column:
-    column, held = _shared(layout).get(rule.pattern, ("text", 0))
-    source = F.col(column)
+    shared = _shared(layout)
+    if rule.pattern in shared:
+        column, held = shared[rule.pattern]
+        source = F.col(column)
+    else:
+        source, held = _source(rule.pattern), 0
     value = source if held == rule.group else tx.first_match(source, rule.pattern, rule.group)
     return _PARTS[rule.part](value) if rule.part else value
 
@@ -53,8 +61,14 @@ def _apply_rules(
     docs: DataFrame, spec: Spec, layouts: tuple[Layout, ...], chosen: Callable[[Layout], Column]
 ) -> DataFrame:
     """Add the spec's fields, each read by the rules of the layout ``chosen`` holds for."""
+    lined = {
+        "_lines": tx.lines(F.col("text"))
+        for layout in layouts
+        for rule in layout.rules
+        if tx.starts_line(rule.pattern)
+    }
     matches = {
-        column: F.when(chosen(layout), tx.first_match(F.col("text"), shared, group))
+        column: F.when(chosen(layout), tx.first_match(_source(shared), shared, group))
         for layout in layouts
         for shared, (column, group) in _shared(layout).items()
     }
@@ -90,10 +104,10 @@ def _apply_rules(
             final[field.name] = F.lit(None).cast(field.dtype)
 
     staged = docs
-    for stage in (matches, picked, final):
+    for stage in (lined, matches, picked, final):
         if stage:
             staged = staged.withColumns(stage)
-    return staged.drop(*matches, *picked)
+    return staged.drop(*lined, *matches, *picked)
 
 
 def parse_as(docs: DataFrame, layout: str, spec: Spec = CERTIFICATES) -> DataFrame:
@@ -132,10 +146,9 @@ def routed(
 ) -> DataFrame:
     """:func:`route` without the observation, to build on within one pipeline."""
     parsers = [layout.name for layout in spec.parsed]
-    classified = classify(docs, spec)
     if layouts is not None:
-        classified = classified.filter(F.col("layout").isin(*layouts))
-    noted = classified.withColumns(
+        docs = only_layouts(docs, layouts, spec)
+    noted = classify(docs, spec).withColumns(
         {
             "no_extraction": ~F.coalesce(F.col("layout").isin(parsers), F.lit(False)),
             "note": routing_note(spec),

@@ -96,8 +96,10 @@ def to_review(evaluated: DataFrame) -> DataFrame:
 
 
 def write_split(evaluated: DataFrame, path: str) -> None:
-    """Write both sets in one pass, as partitions ``needs_review=true/false``."""
-    evaluated.write.mode("errorifexists").partitionBy("needs_review").parquet(path)
+    """Write both sets in one pass, as partitions ``queue=clean`` and ``queue=review``."""
+    queue = F.when(F.col("needs_review"), F.lit("review")).otherwise(F.lit("clean"))
+    split = evaluated.withColumn("queue", queue)
+    split.write.mode("errorifexists").partitionBy("queue").parquet(path)
 
 
 def queue_summary(evaluated: DataFrame) -> DataFrame:

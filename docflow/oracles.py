@@ -373,7 +373,8 @@ _PARTS: dict[str, tuple[str, str]] = {
     ),
     "split_table": (
         _JUDGED,
-        "SELECT len(reasons) > 0 AS needs_review, detected, COUNT(*) AS documents FROM judged "
+        "SELECT CASE WHEN len(reasons) > 0 THEN 'review' ELSE 'clean' END AS queue, detected, "
+        "COUNT(*) AS documents FROM judged "
         "GROUP BY ALL",
     ),
     "routing_report": (
