@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from docflow.certificate import MARKER_A, MARKER_B, MARKER_C
 from docflow.operators.frames import settled
+from docflow.sources.documents import spread
 
 UNIT_TYPES = ("Traction Passenger", "Hydraulic Passenger", "Freight", "Escalator")
 FOOTER = "SPECIMEN - rendered from a test table, not a real record\n"
@@ -36,7 +37,7 @@ def certificate_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "orders", "customer", "nation", "region"
     )
     joined = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        spread(orders).join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )

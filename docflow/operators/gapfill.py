@@ -23,7 +23,7 @@ from docflow.functions import present
 from docflow.operators.frames import require_columns
 from docflow.operators.review import missing_fields
 from docflow.operators.score import ratio, same_value, with_truth
-from docflow.sources.answers import ANSWER_SCHEMA, append_answers, first_answers
+from docflow.sources.answers import append_answers, first_answers
 from docflow.spec import Field, Spec
 
 # What a caller returns: the answered fields, tokens read and tokens written.

@@ -26,6 +26,17 @@ def read_corpus(spark: SparkSession, path: str, format: str = "text") -> DataFra
     return docs.select("file", "text")
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """``docs`` over all cores, if they come in fewer partitions than there are cores.
+
+    Reading fields costs far more time per byte than scanning, so one file that
+    Spark takes for a single task would keep the other cores idle. Large inputs
+    have partitions enough and are left alone.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
 def _joined(pages: DataFrame, by: list[str], order: str, text: str) -> DataFrame:
     """Texts of each group in ``order``, joined by page breaks."""
     ordered = F.array_sort(F.collect_list(F.struct(order, text)))

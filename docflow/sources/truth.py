@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from docflow.certificate import CERTIFICATES
-from docflow.functions import money, us_date, whole_number
+from docflow.functions import us_date
 from docflow.operators.frames import require_columns
 from docflow.spec import Spec
 
@@ -35,10 +35,17 @@ def read_truth(spark: SparkSession, path: str, spec: Spec = CERTIFICATES) -> Dat
     )
 
 
+# A date of the key may have one-digit months and days.
+KEY_DATE = r"^\d{1,2}/\d{1,2}/\d{4}\z"
+
+
 def _typed(name: str, dtype: str) -> Column:
-    text = F.nullif(F.col(name), F.lit(""))
-    readers = {"bigint": whole_number, "double": money, "date": us_date}
-    return readers[dtype](text) if dtype in readers else text
+    text = F.col(name)
+    if dtype == "string":
+        return F.nullif(text, F.lit(""))
+    if dtype == "date":
+        return us_date(F.when(text.rlike(KEY_DATE), text))
+    return F.when(text != "", text).try_cast(dtype)
 
 
 def normalize_truth(truth: DataFrame, spec: Spec = CERTIFICATES) -> DataFrame:
