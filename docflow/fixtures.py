@@ -3,19 +3,20 @@
 The test tables hold no certificates, so one is rendered per order, as a pure
 function of the order's key and its customer. Expected values can therefore be
 computed from the tables without ever looking at a text. Faults are planted by
-key: see :func:`certificate_facts`.
+key; see ``FACTS``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from string import Formatter
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.certificate import MARKER_A, MARKER_B, MARKER_C
+from docflow.certificate import CERTIFICATES, MARKER_A, MARKER_B, MARKER_C
 from docflow.operators.frames import settled
 from docflow.sources.documents import spread
 
-UNIT_TYPES = ("Traction Passenger", "Hydraulic Passenger", "Freight", "Escalator")
 FOOTER = "SPECIMEN - rendered from a test table, not a real record\n"
 
 
@@ -23,217 +24,164 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names]
 
 
-def _every(n: int) -> Column:
-    return F.col("k") % n == 0
+# What each certificate says, as written on it; null means that it is not written.
+# ``template`` is A, B or C, or ``none`` (no marker) or ``both`` (two markers).
+TEMPLATE = """CASE WHEN k % 8 <= 2 THEN 'A' WHEN k % 8 <= 5 THEN 'C' WHEN k % 8 = 6 THEN 'B'
+  WHEN k % 16 = 15 THEN 'both' ELSE 'none' END"""
+FACTS = {
+    "file": "concat('CRT-', k)",
+    "cert_no": "concat('CRT-', k)",
+    "unit_id": "concat(substring('ABCDE', cast(k % 5 + 1 AS int), 1), k % 97 + 1, '-', k % 7 + 1)",
+    "building": "CASE WHEN k % 101 <> 0 THEN c_name END",
+    "city": "n_name",
+    "state": "substring(r_name, 1, 2)",
+    "unit_type": """CASE k % 4 WHEN 0 THEN 'Traction Passenger' WHEN 1 THEN 'Hydraulic Passenger'
+      WHEN 2 THEN 'Freight' ELSE 'Escalator' END""",
+    "capacity_lbs": """cast(CASE WHEN template = 'C' AND k % 3 = 0 THEN NULL
+      WHEN k % 89 = 0 THEN 0 ELSE (k % 7 + 1) * 500 END AS string)""",
+    "inspection_date": """CASE WHEN k % 103 = 0 THEN concat('02/30/', year(day))
+      ELSE date_format(day, 'MM/dd/yyyy') END""",
+    "next_due": """date_format(CASE WHEN k % 97 = 0 THEN day ELSE date_add(day, 365) END,
+      'MM/dd/yyyy')""",
+    "inspector": "concat('S. Name', c_custkey)",
+    "result": """CASE WHEN k % 107 = 0 THEN 'DEFERRED' WHEN o_orderstatus = 'F' THEN 'FAIL'
+      WHEN o_orderstatus = 'O' THEN 'PASS' ELSE 'PASS WITH DEFECTS' END""",
+    "invoice_total": "format_number(o_totalprice, 2)",
+    "defect_count": """cast(CASE o_orderstatus WHEN 'F' THEN k % 4 WHEN 'O' THEN 0
+      ELSE k % 3 + 1 END AS int)""",
+}
 
 
 def certificate_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: what its certificate says, as written on it.
-
-    ``template`` is A, B or C, or ``none`` (no marker) or ``both`` (two markers).
-    Null means that the value is not written at all.
-    """
+    """One row per order: its key, status and priority, and what its certificate says."""
     orders, customer, nation, region = tables(
         spark, sf_dir, "orders", "customer", "nation", "region"
     )
     joined = (
-        spread(orders).join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    k, turn = F.col("k"), F.col("k") % 8
-    based = joined.select(
-        F.col("o_orderkey").alias("k"),
-        "o_orderstatus",
-        "o_orderpriority",
-        "o_totalprice",
-        F.to_date("o_orderdate").alias("day"),
-        "c_custkey",
-        "c_name",
-        "n_name",
-        "r_name",
-    ).withColumn(
-        "template",
-        F.when(turn <= 2, F.lit("A"))
-        .when(turn <= 5, F.lit("C"))
-        .when(turn == 6, F.lit("B"))
-        .when(k % 16 == 15, F.lit("both"))
-        .otherwise(F.lit("none")),
+        spread(orders)
+        .join(customer, F.expr("o_custkey = c_custkey"))
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
     )
-    us = "MM/dd/yyyy"
-    status = F.col("o_orderstatus")
-    letter = F.substring(F.lit("ABCDE"), (k % 5 + 1).cast("int"), F.lit(1))
-    return based.select(
-        "k",
-        "template",
-        "o_orderstatus",
-        "o_orderpriority",
-        F.concat(F.lit("CRT-"), k).alias("file"),
-        F.concat(F.lit("CRT-"), k).alias("cert_no"),
-        F.concat(letter, k % 97 + 1, F.lit("-"), k % 7 + 1).alias("unit_id"),
-        F.when(~_every(101), F.col("c_name")).alias("building"),
-        F.col("n_name").alias("city"),
-        F.substring("r_name", 1, 2).alias("state"),
-        F.element_at(F.array(*[F.lit(u) for u in UNIT_TYPES]), (k % 4 + 1).cast("int")).alias(
-            "unit_type"
-        ),
-        F.when((F.col("template") == "C") & _every(3), F.lit(None))
-        .when(_every(89), F.lit(0))
-        .otherwise((k % 7 + 1) * 500)
-        .cast("string")
-        .alias("capacity_lbs"),
-        F.when(_every(103), F.concat(F.lit("02/30/"), F.year("day")))
-        .otherwise(F.date_format("day", us))
-        .alias("inspection_date"),
-        F.date_format(F.when(_every(97), F.col("day")).otherwise(F.date_add("day", 365)), us).alias(
-            "next_due"
-        ),
-        F.concat(F.lit("S. Name"), F.col("c_custkey")).alias("inspector"),
-        F.when(_every(107), F.lit("DEFERRED"))
-        .when(status == "F", F.lit("FAIL"))
-        .when(status == "O", F.lit("PASS"))
-        .otherwise(F.lit("PASS WITH DEFECTS"))
-        .alias("result"),
-        F.format_number("o_totalprice", 2).alias("invoice_total"),
-        F.when(status == "F", k % 4)
-        .when(status == "O", F.lit(0))
-        .otherwise(k % 3 + 1)
-        .cast("int")
-        .alias("defect_count"),
+    return (
+        joined.selectExpr("*", "o_orderkey AS k", "to_date(o_orderdate) AS day")
+        .selectExpr("*", f"{TEMPLATE} AS template")
+        .selectExpr(
+            "k",
+            "template",
+            "o_orderstatus",
+            "o_orderpriority",
+            *[f"{expression} AS {name}" for name, expression in FACTS.items()],
+        )
     )
 
 
-def _section(heading: str, bullet: str) -> Column:
-    """Heading and one bullet line per defect; left out without defects."""
-    defects = F.col("defect_count")
-    lines = F.concat(F.lit(heading), F.repeat(F.lit(bullet), defects))
-    return F.when(defects > 0, lines).otherwise(F.lit(""))
-
-
-def _text_a() -> Column:
-    def line(label: str, value: Column) -> Column:
-        padded = F.concat(F.lit(f"{label}:".ljust(18)), value, F.lit("\n"))
-        return F.coalesce(padded, F.lit(""))
-
-    street = F.concat(F.col("k") % 900 + 1, F.lit(" Pier Rd, "))
-    zip_code = F.concat(F.lit(" "), F.lit(10001) + F.col("k") % 80000)
-    return F.concat(
-        F.lit(f"HARBOUR LIFT INSPECTORS\n\n{MARKER_A}\n\n"),
-        line("Certificate No", F.col("cert_no")),
-        line("Unit ID", F.col("unit_id")),
-        line("Building", F.col("building")),
-        line("Address", F.concat(street, "city", F.lit(", "), "state", zip_code)),
-        line("Unit Type", F.col("unit_type")),
-        line("Capacity (lbs)", F.col("capacity_lbs")),
-        line("Inspection Date", F.col("inspection_date")),
-        line("Next Due", F.col("next_due")),
-        line("Inspector", F.col("inspector")),
-        line("Result", F.col("result")),
-        line("Invoice Total", F.concat(F.lit("$"), "invoice_total")),
-        F.lit("\n"),
-        _section("Defects Noted:\n\n", "    - Governor out of tolerance\n"),
-        F.lit("\n" + FOOTER),
-    )
-
-
-def _text_c() -> Column:
-    early = F.col("k") % 2 == 0  # the prose wraps one word earlier
-    examiner = F.when(early, F.lit("an\nauthorized inspector")).otherwise(
-        F.lit("an authorized\ninspector")
-    )
-    later = F.when(early, F.lit("no\nlater than")).otherwise(F.lit("no later\nthan"))
-    return F.concat(
-        F.lit(f"HARBOUR LIFT INSPECTORS\n{MARKER_C} "),
-        "inspection_date",
-        F.lit(" by "),
-        "inspector",
-        F.lit(", acting as "),
-        examiner,
-        F.lit(" for Harbour Lift. This document is issued under certificate\nreference "),
-        "cert_no",
-        F.lit(" and supersedes any prior record for this unit.\nPremises: "),
-        F.coalesce(F.concat("building", F.lit(" ")), F.lit("")),
-        F.lit("Equipment No.: "),
-        "unit_id",
-        F.lit("\nStreet: Pier Rd Classification: "),
-        "unit_type",
-        F.lit("\nMunicipality: "),
-        "city",
-        F.lit(", "),
-        "state",
-        F.lit(" Rated Load: "),
-        F.coalesce(F.concat("capacity_lbs", F.lit(" ")), F.lit("")),
-        F.lit("pounds\nPostal: 10001 Outcome: "),
-        "result",
-        F.lit("\nCharges for this examination total $"),
-        "invoice_total",
-        F.lit(", payable net 30. Re-examination shall occur "),
-        later,
-        F.lit(" "),
-        "next_due",
-        F.lit(".\n"),
-        _section("Items requiring corrective action:\n", "(cid:127) Governor out of tolerance\n"),
-        F.lit(FOOTER),
-    )
-
-
-def _text_b() -> Column:
-    return F.concat(F.lit(f"{MARKER_B}\nUnit: "), "unit_id", F.lit("\nResult: "), "result")
+# The documents. {name} is a fact or one of the pieces below; a piece that is null
+# is left out, with its line.
+TEXT_A = f"""HARBOUR LIFT INSPECTORS
+
+{MARKER_A}
+
+Certificate No:   {{cert_no}}
+Unit ID:          {{unit_id}}
+{{building_line}}Address:          {{street}}, {{city}}, {{state}} {{zip_code}}
+Unit Type:        {{unit_type}}
+Capacity (lbs):   {{capacity_lbs}}
+Inspection Date:  {{inspection_date}}
+Next Due:         {{next_due}}
+Inspector:        {{inspector}}
+Result:           {{result}}
+Invoice Total:    ${{invoice_total}}
+
+{{defects_a}}
+{FOOTER}"""
+
+TEXT_C = f"""HARBOUR LIFT INSPECTORS
+{MARKER_C} {{inspection_date}} by {{inspector}}, acting as {{examiner}} for Harbour Lift. This document is issued under certificate
+reference {{cert_no}} and supersedes any prior record for this unit.
+Premises: {{premises}}Equipment No.: {{unit_id}}
+Street: Pier Rd Classification: {{unit_type}}
+Municipality: {{city}}, {{state}} Rated Load: {{load}}pounds
+Postal: 10001 Outcome: {{result}}
+Charges for this examination total ${{invoice_total}}, payable net 30. Re-examination shall occur {{later}} {{next_due}}.
+{{defects_c}}{FOOTER}"""
+
+TEXT_B = f"{MARKER_B}\nUnit: {{unit_id}}\nResult: {{result}}"
+TEXT_NONE = "Delivery note\n\nUnit ID: {unit_id}\n"
+
+# The prose of layout C wraps one word earlier on even keys.
+PIECES = {
+    "building_line": r"concat('Building:         ', building, '\n')",
+    "street": "concat(k % 900 + 1, ' Pier Rd')",
+    "zip_code": "cast(10001 + k % 80000 AS string)",
+    "premises": "concat(building, ' ')",
+    "load": "concat(capacity_lbs, ' ')",
+    "examiner": r"""CASE WHEN k % 2 = 0 THEN 'an\nauthorized inspector'
+      ELSE 'an authorized\ninspector' END""",
+    "later": r"CASE WHEN k % 2 = 0 THEN 'no\nlater than' ELSE 'no later\nthan' END",
+    "defects_a": r"""CASE WHEN defect_count > 0 THEN concat('Defects Noted:\n\n',
+      repeat('    - Governor out of tolerance\n', defect_count)) END""",
+    "defects_c": r"""CASE WHEN defect_count > 0 THEN concat('Items requiring corrective action:\n',
+      repeat('(cid:127) Governor out of tolerance\n', defect_count)) END""",
+}
+
+
+def _filled_in(template: str) -> str:
+    """SQL expression of a template's text."""
+    parts = []
+    for literal, name, _, _ in Formatter().parse(template):
+        if literal:
+            quoted = literal.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+            parts.append(f"'{quoted}'")
+        if name:
+            parts.append(f"coalesce({PIECES.get(name, name)}, '')")
+    return f"concat({', '.join(parts)})"
 
 
 def render(facts: DataFrame) -> DataFrame:
     """``(file, text)`` of every certificate."""
-    template = F.col("template")
-    text = (
-        F.when(template == "A", _text_a())
-        .when(template == "C", _text_c())
-        .when(template == "B", _text_b())
-        .when(template == "both", F.concat(_text_a(), F.lit("\n"), _text_b()))
-        .otherwise(F.concat(F.lit("Delivery note\n\nUnit ID: "), "unit_id", F.lit("\n")))
-    )
+    text_a, text_b = _filled_in(TEXT_A), _filled_in(TEXT_B)
+    text = f"""CASE template WHEN 'A' THEN {text_a} WHEN 'C' THEN {_filled_in(TEXT_C)}
+      WHEN 'B' THEN {text_b} WHEN 'both' THEN concat({text_a}, '\\n', {text_b})
+      ELSE {_filled_in(TEXT_NONE)} END AS text"""
     # Settled, so that filters on the text are not moved into its rendering.
-    return settled(facts.select("file", text.alias("text")))
+    return settled(facts.selectExpr("file", text))
 
 
 def certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render(certificate_facts(spark, sf_dir))
 
 
+# The key's own faults: another layout, a wrong city, no invoice total, an
+# unreadable capacity.
+KEY = {
+    "layout": """CASE WHEN k % 17 = 0 THEN 'B' WHEN template IN ('A', 'B', 'C') THEN template
+      ELSE 'A' END""",
+    "building": "coalesce(building, '')",
+    "city": "CASE WHEN k % 11 = 0 THEN 'Elsewhere' ELSE city END",
+    "capacity_lbs": "CASE WHEN k % 19 = 0 THEN 'n/a' ELSE coalesce(capacity_lbs, '') END",
+    "inspection_date": "CASE WHEN k % 103 = 0 THEN '' ELSE inspection_date END",
+    "invoice_total": "CASE WHEN k % 13 = 0 THEN '' ELSE replace(invoice_total, ',') END",
+    "defect_count": "cast(defect_count AS string)",
+}
+
+
 def answer_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key of strings for the finished orders, with faults of its own.
 
-    Orders still in progress are not in it. Some rows name another layout, a
-    wrong city, no invoice total or an unreadable capacity, and every supplier
-    has a row although no document is named after one.
+    Orders still in progress are not in it, and every supplier has a row although
+    no document is named after one.
     """
-    facts = certificate_facts(spark, sf_dir).filter(F.col("o_orderstatus") != "P")
-    expected_layout = F.when(_every(17), F.lit("B")).when(
-        F.col("template").isin("A", "B", "C"), F.col("template")
-    )
-    known = facts.select(
-        "file",
-        F.coalesce(expected_layout, F.lit("A")).alias("layout"),
-        "cert_no",
-        "unit_id",
-        F.coalesce("building", F.lit("")).alias("building"),
-        F.when(_every(11), F.lit("Elsewhere")).otherwise(F.col("city")).alias("city"),
-        "state",
-        "unit_type",
-        F.when(_every(19), F.lit("n/a"))
-        .otherwise(F.coalesce("capacity_lbs", F.lit("")))
-        .alias("capacity_lbs"),
-        F.when(_every(103), F.lit("")).otherwise(F.col("inspection_date")).alias("inspection_date"),
-        "next_due",
-        "inspector",
-        "result",
-        F.when(_every(13), F.lit(""))
-        .otherwise(F.replace("invoice_total", F.lit(",")))
-        .alias("invoice_total"),
-        F.col("defect_count").cast("string").alias("defect_count"),
+    columns = ["file", "layout", *CERTIFICATES.names]
+    known = (
+        certificate_facts(spark, sf_dir)
+        .filter("o_orderstatus <> 'P'")
+        .selectExpr(*[f"{KEY.get(name, name)} AS {name}" for name in columns])
     )
     (supplier,) = tables(spark, sf_dir, "supplier")
-    blank = [F.lit("").alias(name) for name in known.columns[2:]]
-    absent = supplier.select(
-        F.concat(F.lit("CRT-S"), "s_suppkey").alias("file"), F.lit("A").alias("layout"), *blank
+    absent = supplier.selectExpr(
+        "concat('CRT-S', s_suppkey) AS file",
+        "'A' AS layout",
+        *[f"'' AS {name}" for name in CERTIFICATES.names],
     )
     return known.unionByName(absent)
