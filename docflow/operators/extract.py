@@ -167,9 +167,7 @@ def route(
     keeps only the documents of these layouts, before any pattern runs. One
     narrow stage; the text stays, for callers that still need it.
     """
-    return settled(
-        routed(docs, spec, layouts), without_extraction=F.count_if("no_extraction")
-    )
+    return settled(routed(docs, spec, layouts))
 
 
 def fields_long(df: DataFrame, spec: Spec = CERTIFICATES) -> DataFrame:

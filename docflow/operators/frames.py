@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,7 +14,7 @@ def require_columns(df: DataFrame, names: tuple[str, ...], what: str) -> None:
         raise ValueError(f"{what} lacks the columns {missing}; it has {df.columns}")
 
 
-def settled(df: DataFrame, **metrics: Column) -> DataFrame:
+def settled(df: DataFrame) -> DataFrame:
     """``df`` with its columns computed once, whatever is filtered afterwards.
 
     A filter on a derived column is normally moved below the projections that
@@ -23,10 +23,7 @@ def settled(df: DataFrame, **metrics: Column) -> DataFrame:
     times over. Filters are not moved below an observation, so counting rows
     here keeps the matches in one place; columns nobody reads are still pruned.
     """
-    observed = {"rows": F.count(F.lit(1)), **metrics}
-    return df.observe(
-        f"docflow_{uuid4().hex}", *[column.alias(name) for name, column in observed.items()]
-    )
+    return df.observe(f"docflow_{uuid4().hex}", F.count(F.lit(1)).alias("rows"))
 
 
 def unpivot_fields(

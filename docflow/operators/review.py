@@ -84,7 +84,7 @@ def evaluate(
     One narrow stage from the scan on: route, read, validate, score, decide.
     """
     judged = judge(routed(docs, spec), spec, threshold).drop("text")
-    return settled(judged, to_review=F.count_if("needs_review"))
+    return settled(judged)
 
 
 def clean(evaluated: DataFrame) -> DataFrame:
