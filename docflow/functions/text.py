@@ -33,8 +33,11 @@ def first_match(text: Column, regex: str, group: int) -> Column:
     then matched as the ``\\n`` before it: a pattern that begins with a literal is
     searched for in leaps, one that begins with ``^`` is tried at every character.
     """
-    found = r"\n" + regex[1:] if starts_line(regex) else regex
-    return F.regexp_extract(text, FLAGS + found, group)
+    return F.regexp_extract(text, FLAGS + _searched(regex), group)
+
+
+def _searched(regex: str) -> str:
+    return r"\n" + regex[1:] if starts_line(regex) else regex
 
 
 def strip(text: Column) -> Column:
@@ -79,9 +82,12 @@ def address_state(line: Column) -> Column:
 
 
 def section_count(text: Column, heading: str, bullet: str) -> Column:
-    """Lines matching ``bullet`` from the first ``heading`` on; no heading is 0."""
-    section = F.regexp_extract(text, rf"\Q{heading}\E[\s\S]*", 0)
-    return F.regexp_count(section, F.lit(FLAGS + bullet)).cast("bigint")
+    """Lines matching ``bullet`` from the first ``heading`` on; no heading is 0.
+
+    The section starts with its heading, so each later line follows a ``\\n``.
+    """
+    section = F.regexp_extract(text, rf"(?s)\Q{heading}\E.*", 0)
+    return F.regexp_count(section, F.lit(FLAGS + _searched(bullet))).cast("bigint")
 
 
 def present(*values: Column) -> Column:
