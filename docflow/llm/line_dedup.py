@@ -21,7 +21,8 @@ without a word are in no run; those that follow a deleted line go with it.
 
 Defined cases: a null text is empty; ids that are null come after all others; rows
 with equal ids come in table order; a document may lose all its lines and stays with
-an empty text; an empty table gives no rows; all columns are kept.
+an empty text; an empty table gives no rows; all columns are kept, but for those with
+the names of the ones added.
 """
 
 from __future__ import annotations
@@ -116,9 +117,10 @@ def prefix_ranks(lines: DataFrame, longest: int) -> dict[int, DataFrame]:
     k, levels = 1, {1: _ranked(lines, "high", "low", "ranks-1")}
     while 2 * k <= longest:
         here = levels[k]
-        ahead = here.select("row", (F.col("at") - k).alias("at"), F.col("rank").alias("next"))
+        first = here.select("row", "at", F.col("rank").alias("head"))
+        second = here.select("row", (F.col("at") - k).alias("at"), F.col("rank").alias("tail"))
         k *= 2
-        levels[k] = _ranked(here.join(ahead, ["row", "at"]), "rank", "next", f"ranks-{k}")
+        levels[k] = _ranked(first.join(second, ["row", "at"]), "head", "tail", f"ranks-{k}")
         if levels[k].isEmpty():
             break
     return levels
@@ -171,6 +173,7 @@ def dedup_lines(
     """``docs`` with repeated runs taken out of the text, ``n_lines`` and ``removed_lines``."""
     if min_words < 1:
         raise ValueError("a run has one word at least")
+    docs = docs.drop("n_lines", "removed_lines", "_row", "_runs")
     rows = with_row(docs, "_row", "line-documents")
     sequences = staged(_sequences(rows, id_col, text_col, min_words), "line-sequences")
     longest = sequences.agg(F.max(F.array_max(F.transform("runs", lambda r: r["size"])))).first()[0] or 1

@@ -6,8 +6,9 @@ contexts: the two words before it, the word before and the word after, the two w
 after. Contexts and runs form a graph over the whole corpus, scored in rounds:
 
 * a context's precision for a kind is the weight of its runs of that kind over the
-  number of its distinct runs; with ``min_support`` weight and ``min_precision`` it
-  is a pattern of that kind;
+  number of its distinct runs, of which those still undecided, with the kind's shape
+  and no seed, count half; with ``min_support`` weight and ``min_precision`` it is a
+  pattern of that kind;
 * a run no seed lies in, of a kind's shape, gets the noisy-or of the precisions of
   the patterns it stands in; at ``min_weight`` it is an identifier, and counts
   towards contexts in the next round.
@@ -154,8 +155,7 @@ def bootstrap(
 ) -> DataFrame:
     """``(text, kind, weight)`` of the runs found in the graph ``(context, text, kind, seed)``.
 
-    ``kind`` is null for runs of no kind. Those and unknown runs lower a context's
-    precision until they are found.
+    ``kind`` is null for runs of no kind: those only lower a context's precision.
     """
     found: DataFrame | None = None
     for _ in range(rounds):
@@ -167,10 +167,13 @@ def bootstrap(
             weight = F.when(F.col("seed"), 1.0).otherwise(F.coalesce("_weight", F.lit(0.0)))
             weighted = graph.join(known, match, "left").select(graph["*"], weight.alias("weight"))
         sums = [F.sum(F.when(F.col("kind") == i, F.col("weight")).otherwise(0.0)) for i in range(len(KINDS))]
-        contexts = weighted.groupBy("context").agg(F.count(F.lit(1)).alias("n"), F.array(*sums).alias("of_kind"))
+        open_ = [F.count_if((F.col("kind") == i) & (F.col("weight") == 0)) for i in range(len(KINDS))]
+        of_kind = F.array(*[F.struct(s.alias("support"), o.alias("undecided")) for s, o in zip(sums, open_)])
+        contexts = weighted.groupBy("context").agg(F.count(F.lit(1)).alias("n"), of_kind.alias("of_kind"))
         patterns = (
-            contexts.select("context", "n", F.posexplode("of_kind").alias("kind", "support"))
-            .withColumn("precision", F.col("support") / F.col("n"))
+            contexts.select("context", "n", F.posexplode("of_kind").alias("kind", "_of"))
+            .select("context", "n", "kind", "_of.support", "_of.undecided")
+            .withColumn("precision", F.col("support") / (F.col("n") - F.col("undecided") / 2))
             .filter((F.col("support") >= min_support) & (F.col("precision") >= min_precision))
         )
         missed = F.sum(F.log(F.greatest(1 - F.col("precision"), F.lit(1e-9))))
@@ -217,9 +220,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts of base spans per kind, the digest of their list, and the list of all spans."""
-    counts = [
-        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)
-    ]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {i})) as long)").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select(
         id_col, *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
     )

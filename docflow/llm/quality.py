@@ -48,6 +48,8 @@ SUPPORT = 0.75
 CUT = 0.9999
 REWEIGHT_CUT = 0.975
 STEPS = 8
+# Groups of languages and sources beyond which rows are joined to them by a shuffle.
+BROADCAST_GROUPS = 100_000
 # Standard deviations below which no direction of a statistic is trusted.
 FLOORS = (0.08, 0.05, 0.05, 0.05, 0.15, 0.15)
 
@@ -235,18 +237,23 @@ def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFr
     return staged(_estimates(close.groupBy("group").agg(*_moments()), REWEIGHT_CUT, {"group": "string"}), "mcd")
 
 
-def _grouped(rows: DataFrame, lang_col: str, source_col: str, min_rows: int) -> DataFrame:
-    """``rows`` with the ``group`` each is judged in; null where there are too few rows."""
+def _grouped(rows: DataFrame, lang_col: str, source_col: str, min_rows: int) -> tuple[DataFrame, bool]:
+    """``rows`` with the ``group`` each is judged in, null where there are too few rows.
+
+    And whether the groups are few enough to go to every task.
+    """
     fine = F.to_json(F.struct(F.lit(2).alias("level"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source")))
     coarse = F.to_json(F.struct(F.lit(1).alias("level"), F.col(lang_col).alias("lang")))
     rows = rows.withColumns({"_fine": fine, "_coarse": coarse})
     fines = rows.filter("n_words > 0").groupBy("_fine", "_coarse").agg(F.count(F.lit(1)).alias("_n"))
     totals = fines.groupBy("_coarse").agg(F.sum("_n").alias("_m"))
-    everything = fines.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    everything, groups = fines.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count(F.lit(1))).first()
+    few = groups <= BROADCAST_GROUPS
     whole = F.lit('{"level":0}' if everything >= min_rows else None).cast("string")
     group = F.when(F.col("_n") >= min_rows, F.col("_fine")).when(F.col("_m") >= min_rows, F.col("_coarse")).otherwise(whole)
     sizes = fines.join(totals, "_coarse").select("_fine", group.alias("group"))
-    return rows.join(sizes, "_fine", "left").withColumn("_whole", whole)
+    sizes = F.broadcast(sizes) if few else sizes
+    return rows.join(sizes, "_fine", "left").withColumn("_whole", whole), few
 
 
 def _fitting(rows: DataFrame) -> DataFrame:
@@ -270,8 +277,9 @@ def judge(
     """Per row: id, ``keep``, the counts, ``base_failed``, ``distance`` squared and ``kept``."""
     columns = tuple(dict.fromkeys((id_col, lang_col, source_col, *keep)))
     rows = staged(with_statistics(docs, columns, text_col), "quality-statistics")
-    rows = staged(_grouped(rows, lang_col, source_col, min_rows), "quality-groups")
+    rows, few = _grouped(rows, lang_col, source_col, min_rows)
     fitted = mcd(staged(_fitting(rows), "quality-vectors"), support)
+    fitted = F.broadcast(fitted) if few else fitted
     judged = rows.join(fitted, "group", "left").withColumn("distance", F.when(F.col("n_words") > 0, _distance()))
     fits = F.coalesce(F.col("distance") <= chi2_quantile(cut, _P), F.lit(True))
     return judged.select(

@@ -129,29 +129,28 @@ def forest(members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return links
 
 
+def _members(keyed: DataFrame, by: list[str]) -> DataFrame:
+    """The fingerprints of every group of two or more."""
+    return keyed.groupBy(*by).agg(F.collect_list("fp").alias("fps")).select("fps").filter(F.size("fps") > 1)
+
+
 def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints ``fp``, enough for every component."""
     keyed = fps.select("fp", F.explode(signatures(F.col("fp"), max_bits)).alias("key"))
     keyed = keyed.select("fp", "key.bit", "key.rest")
-    shared = staged(
-        keyed.groupBy("bit", "rest")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1"),
-        "shared-signatures",
-    )
-    members = keyed.join(shared, ["bit", "rest"])
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    ids = F.sequence(F.lit(0), blocks - 1)
-    # A block meets every block once: the smaller number first.
-    pairs = F.when(blocks > 1, F.transform(ids, lambda o: F.struct(F.least(o, own).alias("x"), F.greatest(o, own).alias("y"))))
-    pairs = F.coalesce(pairs, F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"))))
-    groups = (
-        members.select("bit", "rest", "fp", F.explode(pairs).alias("pair"))
-        .groupBy("bit", "rest", "pair")
-        .agg(F.collect_list("fp").alias("fps"))
-        .select("fps")
-    )
+    sizes = keyed.groupBy("bit", "rest").agg(F.count(F.lit(1)).alias("n"))
+    large = staged(sizes.filter(F.col("n") > block), "large-signatures")
+    if large.isEmpty():
+        groups = _members(keyed, ["bit", "rest"])
+    else:
+        rest = keyed.join(large, ["bit", "rest"], "left_anti")
+        blocks = F.ceil(F.col("n") / block).cast("int")
+        own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
+        # A block meets every block once: the smaller number first.
+        meet = lambda o: F.struct(F.least(o, own).alias("x"), F.greatest(o, own).alias("y"))
+        pairs = F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), meet)).alias("pair")
+        cut = keyed.join(large, ["bit", "rest"]).select("fp", "bit", "rest", pairs)
+        groups = _members(rest, ["bit", "rest"]).unionByName(_members(cut, ["bit", "rest", "pair"]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
