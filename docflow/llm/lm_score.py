@@ -75,65 +75,37 @@ def from_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unshrink(data, "<u8"), dtype=np.uint64)
 
 
-def number(words: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of the documents' words in a row: pair number per word; hashes of words and pairs; each pair's words.
-
-    A pair's first word counts from 1; 0 is a document's start. The last bit of a
-    hash tells words (1) from pairs (0).
-    """
+def words_by_hash(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each word among the distinct ones in hash order; their hashes."""
     codes, distinct = pd.factorize(np.array(words, dtype=object))
-    codes = codes.astype(np.int64)
-    of_word = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
-    before = np.empty(len(codes), np.int64)
-    before[1:] = codes[:-1] + 1
-    starts = np.cumsum(lengths) - lengths
-    before[starts[lengths > 0]] = 0
-    pairs, pair_of = np.unique(before * len(distinct) + codes, return_inverse=True)
-    first, second = pairs // len(distinct), pairs % len(distinct)
-    mixed = (np.concatenate([[_START], of_word])[first] * _ODD) ^ of_word[second]
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
+    order = np.argsort(hashes)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rank[codes], hashes[order]
+
+
+def pairs_by_hash(words: np.ndarray, hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each word's predecessor, from 1, with 0 for none; the number of its pair in hash order; the pairs' hashes."""
+    before = np.empty(len(words), np.int64)
+    before[1:] = words[:-1] + 1
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0
+    pairs, pair_of = np.unique(before * len(hashes) + words, return_inverse=True)
+    first, second = pairs // len(hashes), pairs % len(hashes)
+    mixed = (np.concatenate([[_START], hashes])[first] * _ODD) ^ hashes[second]
     mixed = (mixed ^ (mixed >> np.uint64(31))) * _ODD
     mixed ^= mixed >> np.uint64(29)
-    one = np.uint64(1)
-    return pair_of.astype("<u4"), of_word | one, mixed & ~one, first.astype("<u4"), second.astype("<u4")
-
-
-_ROW = (
-    "chunk long, part int, grams binary, target binary, background binary, "
-    "ids array<{id}>, flags binary, lengths binary, pairs binary, first binary, second binary, place binary"
-)
+    order = np.argsort(mixed)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return before, rank[pair_of], mixed[order]
 
 
-def _chunks(docs: DataFrame, bits: int, chunk_words: int) -> DataFrame:
-    """Rows of two sorts: a chunk's documents (part -1), and what it asks of each part."""
+def _chunks(docs: DataFrame, chunk_words: int) -> DataFrame:
+    """Chunks of whole documents: their ids, flags and lengths, their words in a row as numbers, the words' hashes."""
     small_batches(docs.sparkSession)
     kind = docs.schema["id"].dataType.simpleString()
-    nothing = [None] * 12
-
-    def chunk(key: int, ids: list, flags: list[bool], texts: list[list[bytes]]) -> list[list]:
-        lengths = np.array([len(t) for t in texts], np.int64)
-        pair_of, of_word, of_pair, first, second = number([w for t in texts for w in t], lengths)
-        wanted = np.concatenate([of_word, of_pair])
-        target = np.repeat(np.array(flags, bool), lengths)
-        counts = []
-        for chosen in (target, ~target):
-            in_pairs = np.bincount(pair_of[chosen], minlength=len(of_pair))
-            in_words = np.bincount(second, weights=in_pairs, minlength=len(of_word)).astype(np.int64)
-            counts.append(np.concatenate([in_words, in_pairs]))
-        place = np.argsort(wanted, kind="stable")
-        wanted, counts = wanted[place], [c[place] for c in counts]
-        rows = [nothing.copy()]
-        rows[0][:2] = [key, -1]
-        rows[0][5:] = [
-            ids, np.array(flags, np.uint8).tobytes(), lengths.tobytes(), shrink(pair_of), shrink(first), shrink(second),
-            shrink(place.astype("<u4")),
-        ]
-        parts = (wanted >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(wanted), np.int64)
-        edges = np.flatnonzero(np.diff(parts, prepend=-1)).tolist() + [len(parts)]
-        for a, b in zip(edges, edges[1:]):
-            row = nothing.copy()
-            row[:5] = [key, int(parts[a]), sorted_bytes(wanted[a:b]), *(shrink(c[a:b].astype("<i8")) for c in counts)]
-            rows.append(row)
-        return rows
+    names = ["chunk", "ids", "flags", "lengths", "words", "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 33
@@ -144,10 +116,11 @@ def _chunks(docs: DataFrame, bits: int, chunk_words: int) -> DataFrame:
         id_type = pa.int64()
 
         def emit() -> pa.RecordBatch:
-            columns = list(zip(*chunk(task + made, ids, flags, texts)))
-            kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 3, pa.list_(id_type), *[pa.binary()] * 6]
-            names = [f.split()[0] for f in _ROW.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            lengths = np.array([len(t) for t in texts], np.int64)
+            words, hashes = words_by_hash([w for t in texts for w in t])
+            row = [task + made, ids, np.array(flags, np.uint8).tobytes(), lengths.tobytes(), shrink(words.astype("<u4")), sorted_bytes(hashes)]
+            kinds = [pa.int64(), pa.list_(id_type), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
 
         for batch in batches:
             id_type = batch.schema.field(0).type
@@ -163,34 +136,68 @@ def _chunks(docs: DataFrame, bits: int, chunk_words: int) -> DataFrame:
         if texts:
             yield emit()
 
-    return docs.select("id", "flag", "text").mapInArrow(run, _ROW.format(id=kind))
+    schema = f"chunk long, ids array<{kind}>, flags binary, lengths binary, words binary, hashes binary"
+    return docs.select("id", "flag", "text").mapInArrow(run, schema)
+
+
+_SORTS = ("word", "pair")
+_SIDES = ("target", "background")
+
+
+def _questions(chunks: DataFrame, bits: int) -> DataFrame:
+    """What each chunk asks of each part: hashes of words and pairs, and its own counts of them."""
+    names = ["chunk", "part", *[f"{s}_{x}" for s in _SORTS for x in ("hashes", *_SIDES)]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                lengths = np.frombuffer(row["lengths"], np.int64)
+                if not lengths.sum():
+                    continue
+                words, hashes = unshrink(row["words"], "<u4").astype(np.int64), from_sorted(row["hashes"])
+                _, pair_of, pair_hashes = pairs_by_hash(words, hashes, lengths)
+                target = np.repeat(np.frombuffer(row["flags"], np.uint8) == 1, lengths)
+                cells: dict[int, list] = {}
+                for sort, (of, wanted) in enumerate(((words, hashes), (pair_of, pair_hashes))):
+                    counts = [np.bincount(of[chosen], minlength=len(wanted)) for chosen in (target, ~target)]
+                    parts = (wanted >> np.uint64(64 - bits)).astype(np.int64)
+                    edges = np.flatnonzero(np.diff(parts, prepend=-1)).tolist() + [len(parts)]
+                    for a, b in zip(edges, edges[1:]):
+                        cell = cells.setdefault(int(parts[a]), [None] * 6)
+                        cell[3 * sort : 3 * sort + 3] = [sorted_bytes(wanted[a:b]), *(shrink(c[a:b].astype("<i8")) for c in counts)]
+                keys = sorted(cells)
+                columns = [pa.array([row["chunk"]] * len(keys), pa.int64()), pa.array(keys, pa.int32())]
+                columns += [pa.array([cells[k][i] for k in keys], pa.binary()) for i in range(6)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return chunks.select("chunk", "flags", "lengths", "words", "hashes").mapInArrow(
+        run, "chunk long, part int, " + ", ".join(f"{n} binary" for n in names[2:])
+    )
 
 
 def _answers(asked: DataFrame) -> DataFrame:
     """Each question with the corpus's counts in its order; a part's first answer has its number of words."""
 
     def run(group: pa.Table) -> pa.Table:
-        grams = [from_sorted(g) for g in group.column("grams").to_pylist()]
-        distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
-        edges = np.cumsum([0, *map(len, grams)])
-        totals = []
-        for side in ("target", "background"):
-            counts = np.concatenate([unshrink(c, "<i8") for c in group.column(side).to_pylist()])
-            total = np.zeros(len(distinct), np.int64)
-            np.add.at(total, place, counts)
-            totals.append([shrink(total[place[a:b]]) for a, b in zip(edges, edges[1:])])
-        words = [int((distinct & np.uint64(1)).sum())] + [0] * (len(grams) - 1)
-        return pa.table(
-            {
-                "chunk": group.column("chunk"),
-                "part": group.column("part"),
-                "target": pa.array(totals[0], pa.binary()),
-                "background": pa.array(totals[1], pa.binary()),
-                "words": pa.array(words, pa.int64()),
-            }
-        )
-
-    return asked.groupBy("part").applyInArrow(run, "chunk long, part int, target binary, background binary, words long")
+        out = {"chunk": group.column("chunk"), "part": group.column("part")}
+        vocabulary = 0
+        for sort in _SORTS:
+            held = group.column(f"{sort}_hashes").to_pylist()
+            hashes = [from_sorted(h) if h else np.zeros(0, np.uint64) for h in held]
+            distinct, place = np.unique(np.concatenate(hashes), return_inverse=True)
+            vocabulary += len(distinct) if sort == "word" else 0
+            edges = np.cumsum([0, *map(len, hashes)])
+            for side in _SIDES:
+                counts = [unshrink(c, "<i8") for c in group.column(f"{sort}_{side}").to_pylist() if c]
+                total = np.bincount(place, weights=np.concatenate(counts) if counts else None, minlength=len(distinct))
+                total = total.astype("<i8")
+                answers = [shrink(total[place[a:b]]) if b > a else None for a, b in zip(edges, edges[1:])]
+                out[f"{sort}_{side}"] = pa.array(answers, pa.binary())
+        out["words"] = pa.array([vocabulary] + [0] * (len(group) - 1), pa.int64())
+        return pa.table(out)
+
+    schema = "chunk long, part int, " + ", ".join(f"{s}_{x} binary" for s in _SORTS for x in _SIDES) + ", words long"
+    return asked.groupBy("part").applyInArrow(run, schema)
 
 
 def losses(
@@ -217,10 +224,9 @@ def score(
     picked = docs.select(F.col(id_col).alias("id"), F.col(target_col).alias("flag"), text_of(docs, text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text_of(docs, text_col)))).first()[0] or 0
     bits = max(2, int(np.ceil(np.log2(max(size / part_bytes, 1)))))
-    rows = staged(_chunks(picked, bits, chunk_words), "lm-chunks")
-    answers = staged(_answers(rows.filter("part >= 0").select("chunk", "part", "grams", "target", "background")), "lm-answers")
+    held = staged(_chunks(picked, chunk_words), "lm-chunks")
+    answers = staged(_answers(_questions(held, bits)), "lm-answers")
     vocabulary = answers.agg(F.sum("words")).first()[0] or 0
-    held = rows.filter("part = -1").select("chunk", "ids", "flags", "lengths", "pairs", "first", "second", "place")
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,30 +247,27 @@ def score(
         flags = np.frombuffer(row["flags"], np.uint8) == 1
         out: dict[str, np.ndarray] = {}
         if lengths.sum():
-            pair_of, first, second = (unshrink(row[c], "<u4").astype(np.int64) for c in ("pairs", "first", "second"))
-            place = unshrink(row["place"], "<u4")
+            words, hashes = unshrink(row["words"], "<u4").astype(np.int64), from_sorted(row["hashes"])
+            before, pair_of, pair_hashes = pairs_by_hash(words, hashes, lengths)
             document = np.repeat(np.arange(len(lengths)), lengths)
-            n_words = len(place) - len(first)
 
             def own(values: np.ndarray, of: int) -> np.ndarray:
                 """How often each word's value is in its own document."""
-                keys, at, counts = np.unique(document * of + values, return_inverse=True, return_counts=True)
+                _, at, counts = np.unique(document * of + values, return_inverse=True, return_counts=True)
                 return counts[at]
 
-            before = first[pair_of]
-            own_counts = (own(second[pair_of], n_words), own(pair_of, len(first)), own(before, n_words + 1))
+            def answer(sort: str, side: str) -> np.ndarray:
+                return np.concatenate([unshrink(x, "<i8") for x in answered.column(f"{sort}_{side}").to_pylist() if x])
+
+            own_counts = (own(words, len(hashes)), own(pair_of, len(pair_hashes)), own(before, len(hashes) + 1))
             is_target = flags[document]
             for side, mine, factor, n in (
                 ("target", is_target, 1.0, n_target),
                 ("background", ~is_target, scale, n_background),
             ):
-                got = np.concatenate([unshrink(x, "<i8") for x in answered.column(side).to_pylist()])
-                total = np.empty(len(place), np.int64)
-                total[place] = got
-                of_word, of_pair = total[:n_words], total[n_words:]
+                of_word, of_pair = answer("word", side), answer("pair", side)
                 # A document's start has no count: its first word is scored by itself.
-                of_first = np.concatenate([[0], of_word])[before]
-                counts = (of_word[second[pair_of]], of_pair[pair_of], of_first)
+                counts = (of_word[words], of_pair[pair_of], np.concatenate([[0], of_word])[before])
                 less = tuple(np.where(mine, c, 0) for c in own_counts)
                 own_n = np.where(mine, lengths[document], 0)
                 per_word = losses(less, counts, np.maximum(n - own_n, 0), factor, vocabulary, weight)
@@ -285,7 +288,7 @@ def score(
     kind = picked.schema["id"].dataType.simpleString()
     found = (
         held.groupBy("chunk")
-        .cogroup(answers.select("chunk", "part", "target", "background").groupBy("chunk"))
+        .cogroup(answers.drop("words").groupBy("chunk"))
         .applyInArrow(judge, f"id {kind}, n_words long, target_loss double, background_loss double, score double")
     )
     return found.withColumnRenamed("id", id_col)
