@@ -1,19 +1,21 @@
 """A training corpus from documents: five stages, each one operator of docflow.llm.
 
 Every stage takes all rows its predecessor kept, is written as Parquet and read
-again; all but the last return the columns of ``documents``.
+again; all but the last return the columns of ``documents``. A stage's own scratch
+tables go when the next stage is called: its result must be written by then.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import decontaminate, line_dedup, packing, quality, simhash
 from docflow.llm.common import with_row
-from docflow.sources.scratch import staged
+from docflow.sources.scratch import recorded, remove, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,6 +24,25 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
+_scratch: list[str] = []
+
+
+def stage(function: Stage) -> Stage:
+    """``function``, after the scratch tables of the stage before it have gone."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove(spark, _scratch)
+        _scratch.clear()
+        with recorded() as made:
+            result = function(spark, docs, sf_dir)
+        _scratch.extend(made)
+        return result
+
+    return run_stage
+
+
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the rules reject."""
     columns = docs.columns
@@ -29,12 +50,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return kept.select(*columns)
 
 
+@stage
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the later copies of repeated line runs; documents stay, if need be without text."""
     columns = docs.columns
     return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*columns)
 
 
+@stage
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: that with the least id."""
     rows = with_row(docs, "_row", "near-dedup-documents")
@@ -43,6 +66,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return rows.join(chosen, "_row", "left_semi").select(*docs.columns)
 
 
+@stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a benchmark passage."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -50,6 +74,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return found.filter("not contaminated").select(*docs.columns)
 
 
+@stage
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document left."""
     return packing.pack(docs)
@@ -67,6 +92,8 @@ STAGES: list[tuple[str, Stage]] = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+    for name, function in STAGES[:-1]:
+        path = scratch_path(spark, name)
+        function(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

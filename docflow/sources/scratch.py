@@ -3,11 +3,34 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables staged inside the block, for :func:`remove`."""
+    made: list[str] = []
+    _recorders.append(made)
+    try:
+        yield made
+    finally:
+        _recorders.remove(made)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables that nothing will read again."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for ``name`` under ``spark.checkpoint.dir``.
 
@@ -31,4 +54,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    for made in _recorders:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as registry
+from docflow import catalog
 from check_oracles import connect, differences
 
-QUERIES = registry.queries()
+QUERIES = catalog.by_name()
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def db(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(registry.oracle_sql())
+    assert set(QUERIES) <= set(registry.oracle_sql()) & set(registry.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
