@@ -67,8 +67,8 @@ def us_date(text: Column) -> Column:
 
 # Of a comma-separated address of three parts or more: the last part but one,
 # and the first word of the last.
-CITY = r"(?U)\A.*,\s*([^,]*?)\s*,[^,]*\z"
-STATE = r"(?U)\A.*,.*,\s*([^\s,]+)[^,]*\z"
+CITY = r"(?sU)\A.*,\s*([^,]*?)\s*,[^,]*\z"
+STATE = r"(?sU)\A.*,.*,\s*([^\s,]+)[^,]*\z"
 
 
 def address_city(line: Column) -> Column:

@@ -28,10 +28,12 @@ def read_truth(spark: SparkSession, path: str, spec: Spec = CERTIFICATES) -> Dat
     """The key as it is written: every column a string.
 
     The schema follows the spec's order, so a key whose header names other
-    columns, or the same ones in another order, is refused.
+    columns, or the same ones in another order, is refused. Quoted values may hold
+    doubled quotes, backslashes and line breaks, so a file is read by one task.
     """
     return spark.read.csv(
-        path, schema=truth_schema(spec), header=True, enforceSchema=False, mode="FAILFAST"
+        path, schema=truth_schema(spec), header=True, enforceSchema=False, mode="FAILFAST",
+        escape='"', multiLine=True,
     )
 
 
@@ -45,7 +47,9 @@ def _typed(name: str, dtype: str) -> Column:
         return F.nullif(text, F.lit(""))
     if dtype == "date":
         return us_date(F.when(text.rlike(KEY_DATE), text))
-    return F.when(text != "", text).try_cast(dtype)
+    # A cast would read a trailing letter as a Java suffix: 12.5d.
+    suffixed = text.rlike(r"[0-9.][dDfF]\s*$")
+    return F.when((text != "") & ~suffixed, text).try_cast(dtype)
 
 
 def normalize_truth(truth: DataFrame, spec: Spec = CERTIFICATES) -> DataFrame:

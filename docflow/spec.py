@@ -129,7 +129,14 @@ class Spec:
         return tuple(layout for layout in self.layouts if layout.has_parser)
 
     def field(self, name: str) -> Field:
-        return next(field for field in self.fields if field.name == name)
+        return _named(self.fields, name, "field")
 
     def layout(self, name: str) -> Layout:
-        return next(layout for layout in self.layouts if layout.name == name)
+        return _named(self.layouts, name, "layout")
+
+
+def _named(entries: tuple, name: str, kind: str):
+    for entry in entries:
+        if entry.name == name:
+            return entry
+    raise ValueError(f"unknown {kind} {name!r}")
