@@ -251,7 +251,7 @@ def truth_without_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _submission(evaluated: DataFrame) -> DataFrame:
     """What reviewers enter for every queued document: gaps filled, the rest kept."""
     k = F.substring_index("file", "-", -1).cast("bigint")
-    shown = ex.fields_long(rv.to_review(evaluated).filter(~F.col("no_extraction")))
+    shown = ex.fields_long(rv.to_review(evaluated))
     field, value = F.col("field"), F.col("value")
     entered = (
         F.when((field == "capacity_lbs") & value.isNull(), (k % 4 * 500 + 1000).cast("string"))
@@ -276,11 +276,9 @@ def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return au.decision_counts(entries)
 
 
-def _audit_log(spark: SparkSession, sf_dir: str, evaluated: DataFrame) -> DataFrame:
-    """Two reviews of the urgent documents, appended one after the other."""
-    facts = fx.certificate_facts(spark, sf_dir)
-    urgent = facts.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select("file")
-    submitted = staged(_submission(evaluated).join(urgent, "file", "left_semi"), "submitted")
+def _audit_log(spark: SparkSession, evaluated: DataFrame, submission: DataFrame) -> DataFrame:
+    """Two reviews of the same documents, appended one after the other."""
+    submitted = staged(submission, "submitted")
     path = scratch_path(spark, "audit")
     for day, reviewer in (("01", "reviewer one"), ("02", "reviewer two")):
         stamp = F.lit(f"2024-03-{day}T09:00:00.000000+00:00")
@@ -290,24 +288,29 @@ def _audit_log(spark: SparkSession, sf_dir: str, evaluated: DataFrame) -> DataFr
 
 def audit_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     evaluated = staged(_evaluated(spark, sf_dir), "evaluated")
-    log = _audit_log(spark, sf_dir, evaluated)
+    facts = fx.certificate_facts(spark, sf_dir)
+    urgent = facts.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select("file")
+    log = _audit_log(spark, evaluated, _submission(evaluated).join(urgent, "file", "left_semi"))
     return au.review_state(rv.to_review(evaluated).select("file", "detected"), log)
 
 
 def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _audit_log(spark, sf_dir, staged(_evaluated(spark, sf_dir), "evaluated"))
+    evaluated = staged(_evaluated(spark, sf_dir), "evaluated")
+    return _audit_log(spark, evaluated, _submission(evaluated))
 
 
 # Gap filling
 
 
-def _stand_in() -> gf.Caller:
-    """Answers as a fixed function of the certificate number in the text."""
+def _stand_in(failing: bool = False) -> gf.Caller:
+    """Answers as a fixed function of the certificate number in the text; if ``failing``, an error on every third."""
 
     def call(text: str, missing: list[str]) -> gf.Answer:
         import re
 
         k = int(re.search(r"reference CRT-(\d+)", text).group(1))
+        if failing and k % 3 == 0:
+            raise TimeoutError(f"no answer for {k}")
         known = {
             "capacity_lbs": k % 5 * 500 + 1000 if k % 2 == 0 else None,
             "building": f"Hall {k}",
@@ -386,6 +389,14 @@ def fallback_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outcome(_fill(spark, sf_dir, path))
 
 
+def fallback_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run whose calls fail for a third of the keys; the second asks only those."""
+    path = scratch_path(spark, "answers")
+    docs = fx.certificates(spark, sf_dir)
+    reports.fill_gaps(docs, _stand_in(failing=True), GAPS, path)
+    return _outcome(reports.fill_gaps(docs, _stand_in(), GAPS, path))
+
+
 def fallback_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = _fill(spark, sf_dir, scratch_path(spark, "answers"))
     report = reports.gap_fill_report(outcomes, fx.answer_key(spark, sf_dir), GAPS)
@@ -439,6 +450,7 @@ QUERIES: tuple[Query, ...] = (
     fallback_answers,
     fallback_outcome,
     fallback_rerun,
+    fallback_with_failures,
     fallback_report,
 )
 

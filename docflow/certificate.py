@@ -44,6 +44,7 @@ def _line(label: str, value: str) -> str:
 DATE = r"(\d{2}/\d{2}/\d{4})"
 MONEY = r"\$([\d,]+\.\d{2})"
 
+# The layouts' patterns, below and in layout C.
 LAYOUT_A = Layout(
     "A",
     MARKER_A,

@@ -17,7 +17,7 @@ from docflow.certificate import CERTIFICATES, MARKER_A, MARKER_B, MARKER_C
 from docflow.operators.frames import settled
 from docflow.sources.documents import spread
 
-FOOTER = "SPECIMEN - rendered from a test table, not a real record\n"
+FOOTER = "Rendered from the orders table.\n"
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
@@ -58,7 +58,7 @@ def certificate_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "orders", "customer", "nation", "region"
     )
     joined = (
-        spread(orders)
+        spread(orders, spark.sparkContext.defaultParallelism)
         .join(customer, F.expr("o_custkey = c_custkey"))
         .join(nation, F.expr("c_nationkey = n_nationkey"))
         .join(region, F.expr("n_regionkey = r_regionkey"))
@@ -97,13 +97,13 @@ Invoice Total:    ${{invoice_total}}
 {FOOTER}"""
 
 TEXT_C = f"""HARBOUR LIFT INSPECTORS
-{MARKER_C} {{inspection_date}} by {{inspector}}, acting as {{examiner}} for Harbour Lift. This document is issued under certificate
-reference {{cert_no}} and supersedes any prior record for this unit.
+{MARKER_C} {{inspection_date}} by {{inspector}}, acting as {{examiner}} of the port. The papers lie in the harbour office, under
+reference {{cert_no}} and supersedes what lay there.
 Premises: {{premises}}Equipment No.: {{unit_id}}
-Street: Pier Rd Classification: {{unit_type}}
+Berth: Pier Rd Classification: {{unit_type}}
 Municipality: {{city}}, {{state}} Rated Load: {{load}}pounds
-Postal: 10001 Outcome: {{result}}
-Charges for this examination total ${{invoice_total}}, payable net 30. Re-examination shall occur {{later}} {{next_due}}.
+Desk: 14 Outcome: {{result}}
+Fees in total ${{invoice_total}}, due at the harbour desk. Re-examination shall occur {{later}} {{next_due}}.
 {{defects_c}}{FOOTER}"""
 
 TEXT_B = f"{MARKER_B}\nUnit: {{unit_id}}\nResult: {{result}}"

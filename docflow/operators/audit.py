@@ -6,17 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.certificate import CERTIFICATES
-from docflow.operators.frames import require_columns
+from docflow.operators.frames import as_text, require_columns
 from docflow.functions import strip
 from docflow.spec import Spec
 
 APPROVE, CORRECT = "approve", "correct"
 
 
+def iso_utc(at: Column) -> Column:
+    """A timestamp in UTC, ISO 8601, whatever the session's time zone.
+
+    Counted from the epoch without a zone: a UTC time that the session's zone skips
+    in spring could not be written otherwise.
+    """
+    micros = F.unix_micros(at)
+    fraction = F.pmod(micros, F.lit(1_000_000))
+    seconds = ((micros - fraction) / 1_000_000).cast("decimal(18,6)")
+    zero = F.lit(0)
+    utc = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(zero, zero, zero, seconds)
+    day_and_time = F.replace(utc.cast("string"), F.lit(" "), F.lit("T"))
+    return F.concat(day_and_time, F.lit("."), F.lpad(fraction.cast("string"), 6, "0"), F.lit("+00:00"))
+
+
 def now_iso() -> Column:
     """The query's start in UTC, ISO 8601."""
-    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    return iso_utc(F.current_timestamp())
 
 
 def blank_to_null(value: Column) -> Column:
@@ -56,7 +70,7 @@ def record_review(
         submitted.select("file").distinct(), "file", "left_semi"
     )
     old_value = F.coalesce(
-        *[F.when(F.col("field") == n, F.col(n).cast("string")) for n in spec.names]
+        *[F.when(F.col("field") == f.name, as_text(F.col(f.name), f.dtype)) for f in spec.fields]
     )
     same = F.col("old_value").eqNullSafe(F.col("new_value"))
     return (
@@ -74,9 +88,10 @@ def record_review(
     )
 
 
-def entries_for_file(log: DataFrame, file: str) -> DataFrame:
-    """A document's history, oldest first."""
-    return log.filter(F.col("file") == file).orderBy("timestamp", "field")
+def entries_for_file(log: DataFrame, file: str, spec: Spec = CERTIFICATES) -> DataFrame:
+    """A document's history, oldest first, and in a record's order within a review."""
+    place = F.array_position(F.array(*map(F.lit, spec.names)), F.col("field"))
+    return log.filter(F.col("file") == file).orderBy("timestamp", place)
 
 
 def decision_counts(entries: DataFrame) -> DataFrame:

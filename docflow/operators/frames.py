@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,18 @@ def settled(df: DataFrame) -> DataFrame:
     return df.observe(f"docflow_{uuid4().hex}", F.count(F.lit(1)).alias("rows"))
 
 
+def as_text(value: Column, dtype: str) -> Column:
+    """A value as a person types it: doubles in plain notation, not as ``1.25E7``.
+
+    Beyond 20 digits, and below the 18th decimal, Spark's notation stays.
+    """
+    text = value.cast("string")
+    if dtype != "double":
+        return text
+    plain = F.regexp_replace(value.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+\z", "$1")
+    return F.when(text.contains("E"), F.coalesce(plain, text)).otherwise(text)
+
+
 def unpivot_fields(
     df: DataFrame, ids: list[str], names: tuple[str, ...], **values: str
 ) -> DataFrame:
@@ -35,10 +47,11 @@ def unpivot_fields(
     with the field's name. Values are rendered as strings. All ids are plain
     columns of ``df``; a narrow operation.
     """
+    types = dict(df.dtypes)
     entries = [
         F.struct(
             F.lit(name).alias("field"),
-            *[F.col(t.format(name)).cast("string").alias(out) for out, t in values.items()],
+            *[as_text(F.col(t.format(name)), types[t.format(name)]).alias(out) for out, t in values.items()],
         )
         for name in names
     ]

@@ -24,6 +24,7 @@ from docflow.operators.frames import require_columns
 from docflow.operators.review import missing_fields
 from docflow.operators.score import ratio, same_value, with_truth
 from docflow.sources.answers import append_answers, first_answers
+from docflow.sources.scratch import staged
 from docflow.spec import Field, Spec
 
 # What a caller returns: the answered fields, tokens read and tokens written.
@@ -39,6 +40,9 @@ OUTPUT_PRICE_PER_MTOK = 25.00
 # one document make one key, and these may be a large part of all requests.
 SALTS = 64
 
+# Requests that are asked between two commits of the answer table.
+WAVE_REQUESTS = 100_000
+
 _REQUEST_TYPES = {"string": "string", "bigint": "integer", "double": "number", "date": "string"}
 
 
@@ -117,17 +121,13 @@ def plan_requests(routed: DataFrame, config: GapFill, spec: Spec = CERTIFICATES)
 def pending_requests(requests: DataFrame, answers: DataFrame) -> DataFrame:
     """One row per distinct request that no answer exists for yet.
 
-    Copies are combined before the shuffle, so a text that is there a million
-    times moves once per task.
+    What is open is found from keys and file names; texts are fetched for open
+    requests only, so a rerun moves none.
     """
-    first = F.min(F.struct("file", "text", "missing")).alias("first")
-    return (
-        requests.filter(F.col("key").isNotNull())
-        .groupBy("key")
-        .agg(first)
-        .select("key", "first.*")
-        .join(answers.select("key"), "key", "left_anti")
-    )
+    files = requests.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("file").alias("file"))
+    still_open = files.join(answers.select("key"), "key", "left_anti")
+    texts = requests.select("key", "file", "text", "missing")
+    return texts.join(still_open, ["key", "file"], "left_semi").dropDuplicates(["key"])
 
 
 def request_cost(config: GapFill) -> Column:
@@ -143,13 +143,20 @@ def answer_requests(
     path: str,
     parallelism: int | None = None,
     allow_speculation: bool = False,
+    concurrency: int = 1,
+    wave_requests: int = WAVE_REQUESTS,
 ) -> int:
     """Ask the caller once per pending request, append the answers, return the run.
 
-    The run's number is the ``seq`` of its answers. ``parallelism`` is the number
-    of tasks the requests are spread over, hence of concurrent calls at most; more
-    tasks also mean fewer calls to repeat when an executor is lost. Speculative
-    copies of a task would call, and pay, twice, so they are refused.
+    The run's number is the ``seq`` of its answers. A call that raises costs only
+    itself: it is stored with its error (``read_failures``) and stays pending. The
+    requests go in waves of about ``wave_requests``, each committed before the next
+    is asked, so a job that is aborted loses the answers of one wave at most.
+
+    ``parallelism`` is the number of tasks of a wave and ``concurrency`` the calls a
+    task makes at a time; more tasks also mean fewer calls to repeat when an executor
+    is lost. Speculative copies of a task would call, and pay, twice, so they are
+    refused.
     """
     spark = pending.sparkSession
     if not allow_speculation and spark.conf.get("spark.speculation", "false") == "true":
@@ -158,30 +165,40 @@ def answer_requests(
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json
+        from concurrent.futures import ThreadPoolExecutor
 
-        for batch in batches:
-            rows = []
-            for key, text, missing in zip(batch["key"], batch["text"], batch["missing"]):
-                start = time.monotonic()
+        def one(key: str, text: str, missing: list[str]) -> tuple:
+            start = time.monotonic()
+            try:
                 fields, read, written = caller(text, [str(name) for name in missing])
-                rows.append((key, json.dumps(fields), read, written, time.monotonic() - start))
-            yield pd.DataFrame(
-                rows,
-                columns=["key", "fields", "input_tokens", "output_tokens", "latency_seconds"],
-            )
+                answer = (json.dumps(fields), read, written, None)
+            except Exception as error:
+                answer = (None, 0, 0, f"{type(error).__name__}: {error}")
+            return (key, *answer, time.monotonic() - start)
+
+        with ThreadPoolExecutor(concurrency) as pool:
+            for batch in batches:
+                rows = list(pool.map(one, batch["key"], batch["text"], batch["missing"]))
+                yield pd.DataFrame(
+                    rows,
+                    columns=["key", "fields", "input_tokens", "output_tokens", "error", "latency_seconds"],
+                )
 
     run = time.time_ns() // 1000
-    answers = (
-        pending.select("key", "text", "missing")
-        .repartition(tasks, "key")
-        .mapInPandas(
-            ask,
-            "key string, fields string, input_tokens bigint, output_tokens bigint, "
-            "latency_seconds double",
+    requests = staged(pending.select("key", "text", "missing"), "pending-requests")
+    waves = max(1, -(-requests.count() // wave_requests))
+    for wave in range(waves):
+        answers = (
+            requests.filter(F.pmod(F.xxhash64("key"), F.lit(waves)) == wave)
+            .repartition(tasks, "key")
+            .mapInPandas(
+                ask,
+                "key string, fields string, input_tokens bigint, output_tokens bigint, "
+                "error string, latency_seconds double",
+            )
+            .withColumns({"seq": F.lit(run).cast("bigint"), "cost_usd": request_cost(config)})
         )
-        .withColumns({"seq": F.lit(run).cast("bigint"), "cost_usd": request_cost(config)})
-    )
-    append_answers(answers, path)
+        append_answers(answers, path)
     return run
 
 

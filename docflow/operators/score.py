@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docflow.certificate import CERTIFICATES
 from docflow.operators.classify import OK
-from docflow.operators.frames import unpivot_fields
+from docflow.operators.frames import as_text, unpivot_fields
 from docflow.spec import Field, Spec
 
 _EXPECTED = "expected_{}"
@@ -91,8 +91,8 @@ def mismatches(scored: DataFrame, spec: Spec = CERTIFICATES) -> DataFrame:
             ~same_value(field),
             F.struct(
                 F.lit(field.name).alias("field"),
-                F.col(_EXPECTED.format(field.name)).cast("string").alias("expected"),
-                F.col(field.name).cast("string").alias("actual"),
+                as_text(F.col(_EXPECTED.format(field.name)), field.dtype).alias("expected"),
+                as_text(F.col(field.name), field.dtype).alias("actual"),
             ),
         )
         for field in spec.fields

@@ -183,7 +183,7 @@ _ENTRIES = (
     + " UNION ALL ".join(
         f"SELECT file, prio, '{name}' AS field, CAST({name} AS VARCHAR) AS old_value, "
         f"{_ENTERED.get(name, f'CAST({name} AS VARCHAR)')} AS new_value "
-        "FROM judged WHERE parsed AND len(reasons) > 0"
+        "FROM judged WHERE len(reasons) > 0"
         for name in NAMES
     )
     + """), entries AS (
@@ -199,19 +199,19 @@ _TEXT_C = """
 || ' by S. Name' || c_custkey || ', acting as '
 || CASE WHEN k % 2 = 0 THEN 'an' || chr(10) || 'authorized inspector'
         ELSE 'an authorized' || chr(10) || 'inspector' END
-|| ' for Harbour Lift. This document is issued under certificate' || chr(10) || 'reference '
-|| file || ' and supersedes any prior record for this unit.' || chr(10) || 'Premises: '
+|| ' of the port. The papers lie in the harbour office, under' || chr(10) || 'reference '
+|| file || ' and supersedes what lay there.' || chr(10) || 'Premises: '
 || CASE WHEN k % 101 = 0 THEN '' ELSE c_name || ' ' END || 'Equipment No.: ' || unit || chr(10)
-|| 'Street: Pier Rd Classification: ' || utype || chr(10)
+|| 'Berth: Pier Rd Classification: ' || utype || chr(10)
 || 'Municipality: ' || n_name || ', ' || r2 || ' Rated Load: '
-|| COALESCE(capacity || ' ', '') || 'pounds' || chr(10) || 'Postal: 10001 Outcome: ' || outcome
-|| chr(10) || 'Charges for this examination total $' || format('{:,.2f}', price)
-|| ', payable net 30. Re-examination shall occur '
+|| COALESCE(capacity || ' ', '') || 'pounds' || chr(10) || 'Desk: 14 Outcome: ' || outcome
+|| chr(10) || 'Fees in total $' || format('{:,.2f}', price)
+|| ', due at the harbour desk. Re-examination shall occur '
 || CASE WHEN k % 2 = 0 THEN 'no' || chr(10) || 'later than' ELSE 'no later' || chr(10) || 'than' END
 || ' ' || strftime(due, '%m/%d/%Y') || '.' || chr(10)
 || CASE WHEN defects > 0 THEN 'Items requiring corrective action:' || chr(10)
      || repeat('(cid:127) Governor out of tolerance' || chr(10), defects) ELSE '' END
-|| 'SPECIMEN - rendered from a test table, not a real record' || chr(10)
+|| 'Rendered from the orders table.' || chr(10)
 """
 
 _VERSION = hashlib.sha256(GAPS.prompt.encode("utf-8")).hexdigest()
@@ -419,14 +419,18 @@ _PARTS: dict[str, tuple[str, str]] = {
     ),
     "audit_status": (
         _JUDGED,
-        "SELECT file, detected, CASE WHEN parsed AND prio IN ('1-URGENT', '2-HIGH') "
+        "SELECT file, detected, CASE WHEN prio IN ('1-URGENT', '2-HIGH') "
         "THEN 'reviewed' ELSE 'pending' END AS state FROM judged WHERE len(reasons) > 0",
     ),
     "audit_history": (
         _ENTRIES,
         "SELECT '2024-03-' || day || 'T09:00:00.000000+00:00' AS timestamp, reviewer, file, field, "
         "action, old_value, new_value FROM entries CROSS JOIN (VALUES ('01', 'reviewer one'), "
-        "('02', 'reviewer two')) v(day, reviewer) WHERE prio IN ('1-URGENT', '2-HIGH')",
+        "('02', 'reviewer two')) v(day, reviewer)",
+    ),
+    "fallback_with_failures": (
+        _ASKED,
+        _outcome_sql("called AND k % 3 <> 0", "CASE WHEN k % 3 = 0 THEN cost ELSE 0 END"),
     ),
     "fallback_requests": (
         _ASKED,

@@ -1,6 +1,6 @@
 """The engine's reports over a corpus.
 
-Each takes frames and returns frames. Several outputs of one report read the
+Each takes frames and returns frames, in no order: sort what is shown. Several outputs of one report read the
 same evaluated documents; pass a staged frame (:func:`evaluate_once`) so that
 the patterns run once, not once per output.
 """
@@ -42,8 +42,8 @@ def review_queue(evaluated: DataFrame, spec: Spec = CERTIFICATES) -> ReviewQueue
     """Counts, the documents to review with their reasons, and the clean ones, by file."""
     return ReviewQueue(
         summary=queue_summary(evaluated),
-        review=pack_fields(to_review(evaluated), spec).orderBy("file"),
-        clean=pack_fields(clean(evaluated), spec).orderBy("file"),
+        review=pack_fields(to_review(evaluated), spec),
+        clean=pack_fields(clean(evaluated), spec),
     )
 
 
@@ -59,10 +59,10 @@ def routing_report(classified: DataFrame, truth_layouts: DataFrame) -> RoutingRe
     """Where each document landed and where the key says it should have."""
     documents = sc.routing(classified, truth_layouts)
     return RoutingReport(
-        documents=documents.orderBy("file"),
+        documents=documents,
         counts=cl.layout_counts(classified),
         accuracy=sc.routing_accuracy(documents),
-        misrouted=sc.misrouted(documents).orderBy("file"),
+        misrouted=sc.misrouted(documents),
     )
 
 
@@ -75,9 +75,9 @@ class ValidationReport:
 
 def validation_report(evaluated: DataFrame) -> ValidationReport:
     return ValidationReport(
-        documents=va.validation_status(evaluated).orderBy("file"),
+        documents=va.validation_status(evaluated),
         counts=va.validation_counts(evaluated),
-        errors=va.validation_errors(evaluated).orderBy("file", "position"),
+        errors=va.validation_errors(evaluated),
     )
 
 

@@ -23,18 +23,34 @@ ANSWER_SCHEMA = StructType(
 )
 
 
+# As stored: a request that failed has the ``error`` and no fields.
+STORED_SCHEMA = StructType([*ANSWER_SCHEMA.fields, StructField("error", StringType())])
+
+
 def append_answers(answers: DataFrame, path: str) -> None:
-    answers.select(*ANSWER_SCHEMA.names).write.mode("append").parquet(path)
+    """Append answers, and failures if the frame has the column ``error``."""
+    if "error" not in answers.columns:
+        answers = answers.withColumn("error", F.lit(None).cast("string"))
+    answers.select(*STORED_SCHEMA.names).write.mode("append").parquet(path)
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    """All answers ever given; none if there is no table yet."""
+    """All answers ever given; none if there is no table yet. Failures are not among them."""
+    return _stored(spark, path).filter("error IS NULL").select(*ANSWER_SCHEMA.names)
+
+
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """``(seq, key, error)`` of every request that failed; they stay pending."""
+    return _stored(spark, path).filter("error IS NOT NULL").select("seq", "key", "error")
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.schema(ANSWER_SCHEMA).parquet(path)
+        return spark.read.schema(STORED_SCHEMA).parquet(path)
     except AnalysisException as error:
         if not path_is_absent(error):
             raise
-        return spark.createDataFrame([], ANSWER_SCHEMA)
+        return spark.createDataFrame([], STORED_SCHEMA)
 
 
 def first_answers(answers: DataFrame) -> DataFrame:

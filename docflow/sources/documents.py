@@ -14,27 +14,33 @@ PAGES_PER_RUN = 4096
 def read_corpus(spark: SparkSession, path: str, format: str = "text") -> DataFrame:
     """All documents of a directory as ``(file, text)``.
 
-    ``text``: one document per file, named by the file. Any other format must
+    ``text``: one document per file, named by the file; equal names in several
+    folders stay equal, see :func:`repeated_files`. Any other format must
     have the two columns already. Rows come in no particular order.
     """
     if format == "text":
         return spark.read.text(path, wholetext=True).select(
-            F.col("_metadata.file_name").alias("file"), F.col("value").alias("text")
+            F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("file"),
+            F.col("value").alias("text"),
         )
     docs = spark.read.format(format).load(path)
     require_columns(docs, ("file", "text"), path)
     return docs.select("file", "text")
 
 
-def spread(docs: DataFrame) -> DataFrame:
-    """``docs`` over all cores, if they come in fewer partitions than there are cores.
+def repeated_files(docs: DataFrame) -> DataFrame:
+    """``(file, documents)`` of names that more than one document has; joins on ``file`` need none."""
+    return docs.groupBy("file").agg(F.count(F.lit(1)).alias("documents")).filter("documents > 1")
+
+
+def spread(docs: DataFrame, partitions: int) -> DataFrame:
+    """``docs`` dealt evenly over ``partitions``.
 
     Reading fields costs far more time per byte than scanning, so one file that
-    Spark takes for a single task would keep the other cores idle. Large inputs
-    have partitions enough and are left alone.
+    Spark takes for a single task would keep the other cores idle. For inputs that
+    come in few partitions; large ones are better left as they are.
     """
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+    return docs.repartition(partitions)
 
 
 def _joined(pages: DataFrame, by: list[str], order: str, text: str) -> DataFrame:
@@ -48,18 +54,16 @@ def _joined(pages: DataFrame, by: list[str], order: str, text: str) -> DataFrame
 def assemble_documents(pages: DataFrame, pages_per_run: int = PAGES_PER_RUN) -> DataFrame:
     """Join ``(file, page_no, text)`` into ``(file, text)``, pages in order.
 
-    A page without text counts as an empty page. Ordinary documents need one
-    shuffle. A document with page numbers from ``pages_per_run`` on is joined in
-    runs of pages first, so that no task has to sort all pages of a huge one;
-    which documents these are is read from the page numbers alone.
+    A page without text counts as an empty page. Pages are joined in runs of
+    ``pages_per_run`` first and the runs to documents then, so no task has to sort
+    all pages of a huge document. The pages are dealt by file and run explicitly:
+    a planner that knew them to lie together by file would skip that exchange.
     """
     require_columns(pages, ("file", "page_no", "text"), "the page frame")
-    pages = pages.select("file", "page_no", F.coalesce("text", F.lit("")).alias("text"))
-    long_files = pages.filter(F.col("page_no") >= pages_per_run).select("file").distinct()
-
-    short = _joined(pages.join(long_files, "file", "left_anti"), ["file"], "page_no", "text")
-    runs = pages.join(long_files, "file", "left_semi").withColumn(
-        "run", F.floor(F.col("page_no") / pages_per_run)
-    )
-    long = _joined(_joined(runs, ["file", "run"], "page_no", "text"), ["file"], "run", "text")
-    return short.unionByName(long)
+    runs = pages.select(
+        "file",
+        "page_no",
+        F.floor(F.col("page_no") / pages_per_run).alias("run"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    ).repartition("file", "run")
+    return _joined(_joined(runs, ["file", "run"], "page_no", "text"), ["file"], "run", "text")

@@ -37,7 +37,7 @@ Defects Noted:
     - Pit ladder loose
     - Oil leak at valve
 
-Not a real record
+Page ends
 """
 
 TEXT_B = f"{MARKER_B}\nUnit: Q12-3\n"
@@ -49,17 +49,17 @@ def text_c(load: str = "2750 pounds", early: bool = True, premises: str = "Lante
     return (
         "TIDEWATER HOIST CO\n"
         "The conveyance identified below was examined on 05/21/2024 by I. Novak, acting as "
-        f"{examiner} for Tidewater. Issued under certificate\n"
-        "reference TH-77-0002 and supersedes any prior record.\n"
+        f"{examiner} of this yard. Filed below\n"
+        "reference TH-77-0002 and supersedes the sheet of last year.\n"
         f"Premises: {premises} Equipment No.: Q44-1\n"
-        "Street: 9 Dock St Classification: Escalator\n"
+        "Floor: 2 Classification: Escalator\n"
         f"Municipality: Salem, MA Rated Load: {load}\n"
-        "Postal: 01970 Outcome: PASS WITH DEFECTS\n"
-        "Charges for this examination total $1,204.05, payable net 30. "
+        "Shift: 1 Outcome: PASS WITH DEFECTS\n"
+        "In total $1,204.05 by bank draft. "
         f"Re-examination shall occur {later} 05/21/2025.\n"
         "Items requiring corrective action:\n"
         "(cid:127) Comb plate worn\n(cid:127) Skirt gap\n"
-        "Not a real record\n"
+        "Page ends\n"
     )
 
 

@@ -99,7 +99,7 @@ def test_values_that_must_not_be_guessed(spark):
             "no-break spaces": a("Lantern House", " Lantern House "),
             "next-line character": a("Lantern House", "Lantern\u0085House"),
             "indented label": a("Unit ID:", " Unit ID:"),
-            "later bullets": a("Not a real record", "- one more"),
+            "later bullets": a("Page ends", "- one more"),
         },
     )
     rows = by_file(ex.parse_as(docs, "A"))

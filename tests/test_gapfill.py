@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docflow.operators import extract as ex
 from docflow.operators import gapfill as gf
 from docflow.plans import reports
-from docflow.sources.answers import ANSWER_SCHEMA, append_answers, first_answers, read_answers
+from docflow.sources.answers import ANSWER_SCHEMA, append_answers, first_answers, read_answers, read_failures
 from samples import FIELDS_A, FIELDS_C, TEXT_A, by_file, documents, fields_of, records, text_c
 
 ASK = gf.GapFill(model="m", prompt="p")
@@ -67,6 +67,45 @@ def test_gaps_are_filled_once_and_paid_once(spark, tmp_path):
     assert len(calls()) == 6
 
 
+def test_a_failed_call_costs_only_itself(spark, tmp_path):
+    good, calls = counting(tmp_path, {"capacity_lbs": 4000})
+
+    def sometimes(text, missing):
+        if "Bad" in text:
+            raise ValueError("too many requests")
+        return good(text, missing)
+
+    names = ("One", "Two", "Bad", "Four")
+    docs = documents(spark, {n: text_c(load="pounds", premises=n) for n in names})
+    path = str(tmp_path / "answers")
+    rows = by_file(reports.fill_gaps(docs, sometimes, ASK, path))
+    assert {n for n, r in rows.items() if r.capacity_lbs == 4000} == {"One", "Two", "Four"}
+    assert not rows["Bad"].called and len(calls()) == 3
+    assert [r.error for r in read_failures(spark, path).collect()] == ["ValueError: too many requests"]
+    again = by_file(reports.fill_gaps(docs, good, ASK, path))
+    assert len(calls()) == 4 and again["Bad"].capacity_lbs == 4000 and not again["Bad"].from_cache
+
+
+def test_waves_before_an_aborted_one_are_kept(spark, tmp_path):
+    good, calls = counting(tmp_path, {"capacity_lbs": 4000})
+
+    def stopping(text, missing):
+        if len(calls()) >= 6:
+            raise SystemExit("the worker ends")
+        return good(text, missing)
+
+    docs = documents(spark, {f"d{i}": text_c(load="pounds", premises=f"Hall {i}") for i in range(12)})
+    path = str(tmp_path / "answers")
+    requests = gf.plan_requests(ex.route(docs, layouts=ASK.layouts), ASK)
+    pending = gf.pending_requests(requests, read_answers(spark, path))
+    with pytest.raises(Exception):
+        gf.answer_requests(pending, stopping, ASK, path, parallelism=1, wave_requests=2, concurrency=2)
+    kept = read_answers(spark, path).count()
+    assert 0 < kept <= 6
+    gf.answer_requests(gf.pending_requests(requests, read_answers(spark, path)), good, ASK, path)
+    assert read_answers(spark, path).count() == 12
+
+
 def test_null_is_an_answer(spark, tmp_path):
     call, calls = counting(tmp_path, {"capacity_lbs": None}, tokens=(500, 15))
     docs = documents(spark, {"c": text_c(load="pounds")})

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from docflow.certificate import CERTIFICATES
 from docflow.operators import audit as au
 from docflow.sources.audit_log import append_audit, read_audit
-from docflow.sources.documents import assemble_documents, read_corpus, spread
+from docflow.operators.frames import as_text
+from docflow.sources.documents import assemble_documents, read_corpus, repeated_files, spread
 from docflow.sources.scratch import scratch_path
 from docflow.sources.truth import (
     normalize_truth,
@@ -39,7 +40,40 @@ def test_corpus_from_text_files(spark, tmp_path):
     (tmp_path / "two.txt").write_text("é")
     got = {r.file: r.text for r in read_corpus(spark, str(tmp_path)).collect()}
     assert got == {"one.txt": "first\nsecond\n", "two.txt": "é"}
-    assert spread(read_corpus(spark, str(tmp_path))).count() == 2
+    assert spread(read_corpus(spark, str(tmp_path)), 3).count() == 2
+
+
+def test_page_plan_scans_once_and_deals_by_run(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    spark.createDataFrame([("d", 1, "x")], "file string, page_no int, text string").write.parquet(path)
+    plan = assemble_documents(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning(file") == 2 and ", run#" in plan.split("Exchange hash")[2]
+
+
+def test_file_names_are_decoded_and_repeats_listed(spark, tmp_path):
+    for folder in ("p", "q"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a b+é%.txt").write_text(folder)
+    docs = read_corpus(spark, str(tmp_path / "*"))
+    assert [r.file for r in docs.collect()] == ["a b+é%.txt"] * 2
+    assert [tuple(r) for r in repeated_files(docs).collect()] == [("a b+é%.txt", 2)]
+
+
+def test_times_in_a_zone_with_a_gap(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        at = F.timestamp_micros(F.lit(1710037800000042))
+        assert spark.range(1).select(au.iso_utc(at)).first()[0] == "2024-03-10T02:30:00.000042+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_numbers_as_text(spark):
+    values = [(12_500_000.0, "12500000.0"), (0.0001, "0.0001"), (12.5, "12.5"), (1e30, "1.0E30"), (None, None)]
+    frame = spark.createDataFrame([(v,) for v, _ in values], "v double")
+    assert [r[0] for r in frame.select(as_text(F.col("v"), "double")).collect()] == [w for _, w in values]
 
 
 HEADER = "file,layout," + ",".join(CERTIFICATES.names)
