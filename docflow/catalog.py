@@ -8,6 +8,7 @@ compare easily.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -245,6 +246,17 @@ def truth_without_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return absent.select("file", "layout")
 
 
+def accuracy_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows each part of the combined report has."""
+    evaluated = staged(_evaluated(spark, sf_dir), "evaluated")
+    report = reports.accuracy_report(evaluated, staged(fx.answer_key(spark, sf_dir), "answer-key"))
+    parts = [
+        frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
+        for name, frame in vars(report).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Audit
 
 
@@ -440,6 +452,7 @@ QUERIES: tuple[Query, ...] = (
     accuracy_mismatches,
     skipped_by_layout,
     truth_without_document,
+    accuracy_report,
     audit_record_review,
     audit_counts,
     audit_status,

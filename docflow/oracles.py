@@ -406,6 +406,16 @@ _PARTS: dict[str, tuple[str, str]] = {
         "SELECT key_layout AS layout, COUNT(*) AS documents FROM scored WHERE NOT parsed "
         "GROUP BY key_layout",
     ),
+    "accuracy_report": (
+        _SCORED,
+        f"""SELECT 'accuracy' AS part, COUNT(*) AS n
+        FROM (SELECT layout, field FROM ({_HITS}) GROUP BY ROLLUP (layout, field))
+        UNION ALL SELECT 'overall', 1
+        UNION ALL SELECT 'skipped', COUNT(DISTINCT key_layout) FROM scored WHERE NOT parsed
+        UNION ALL SELECT 'mismatches', COUNT(*) FROM ({_WRONG})
+        UNION ALL SELECT 'rejects', COUNT(*) FROM key_rows WHERE k % 19 = 0
+        UNION ALL SELECT 'absent', COUNT(*) FROM absent""",
+    ),
     "truth_without_document": (_BASE + _KEY, "SELECT file, 'A' AS layout FROM absent"),
     "audit_record_review": (
         _ENTRIES,

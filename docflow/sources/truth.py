@@ -81,7 +81,8 @@ def truth_rejects(truth: DataFrame, spec: Spec = CERTIFICATES) -> DataFrame:
 def read_truth_layouts(spark: SparkSession, path: str, spec: Spec = CERTIFICATES) -> DataFrame:
     """``(file, layout)`` of the key, one row per file; empty if there is no key.
 
-    A file named more than once has the layout of its last row.
+    A file named more than once has the layout of its last row, the key's own files
+    taken by name.
     """
     try:
         truth = read_truth(spark, path, spec)
@@ -89,5 +90,7 @@ def read_truth_layouts(spark: SparkSession, path: str, spec: Spec = CERTIFICATES
         if not path_is_absent(error):
             raise
         return spark.createDataFrame([], _LAYOUTS)
-    rows = truth.select("file", "layout", F.monotonically_increasing_id().alias("position"))
+    # Spark reads files by size, so the row number alone does not follow their names.
+    position = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    rows = truth.select("file", "layout", position.alias("position"))
     return rows.groupBy("file").agg(F.max_by("layout", "position").alias("layout"))

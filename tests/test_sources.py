@@ -76,6 +76,15 @@ def test_numbers_as_text(spark):
     assert [r[0] for r in frame.select(as_text(F.col("v"), "double")).collect()] == [w for _, w in values]
 
 
+def test_last_row_of_the_last_file_counts(spark, tmp_path):
+    blank = "," * (len(CERTIFICATES.names) - 1)
+    first = "".join(f"other{i},B,{blank}\n" for i in range(500))
+    (tmp_path / "part-0.csv").write_text(f"{HEADER}\nd,A,{blank}\n{first}")
+    (tmp_path / "part-1.csv").write_text(f"{HEADER}\nd,B,{blank}\nd,C,{blank}\n")
+    got = {r.file: r.layout for r in read_truth_layouts(spark, str(tmp_path)).collect()}
+    assert got["d"] == "C" and len(got) == 501
+
+
 HEADER = "file,layout," + ",".join(CERTIFICATES.names)
 
 
