@@ -9,7 +9,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import chat, decontaminate, html_text, line_dedup, lm_score, packing, pii, quality, sharding, simhash
+from docflow.llm import (
+    centroids,
+    chat,
+    decontaminate,
+    html_text,
+    line_dedup,
+    lm_score,
+    packing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    spelling,
+    toxicity,
+)
 from docflow.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +146,28 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, by a network trained on the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector, its distance, and the clusters' inertia."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the commoner form it may be a slip of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     own = [f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()]
     return {f.__name__: f for f in own}

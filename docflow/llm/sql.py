@@ -2,6 +2,105 @@
 
 from __future__ import annotations
 
+from docflow.llm import centroids, spelling
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of a string expression's UTF-8, byte by byte over the table of its polynomial."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    code = f"('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT"
+    step = f"xor(crc >> 8, ({table}::BIGINT[])[(xor(crc, byte) & 255) + 1])"
+    whole = 0xFFFFFFFF
+    return f"""xor({whole}::BIGINT, list_reduce(list_prepend({whole}::BIGINT,
+      list_transform(range(strlen({text})), lambda i: {code})), lambda crc, byte: {step}))"""
+
+
+def centroid_clustering() -> str:
+    """Every round's assignment and means written out."""
+    dims, k = centroids.DIMS, centroids.CENTROIDS
+    dot = "list_inner_product({}::DOUBLE[], {}::DOUBLE[])"
+    parts = [
+        f"""kept AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}
+),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1
+    AS c, v FROM kept QUALIFY c < {k}
+)"""
+    ]
+    for turn in range(centroids.ROUNDS + 1):
+        parts.append(
+            f"""a{turn} AS (
+  SELECT r, vec_id, kept.v AS v, c, CAST({dot.format('kept.v', 'kept.v')} - 2 * {dot.format('kept.v', 'm.v')}
+    + {dot.format('m.v', 'm.v')} AS BIGINT) AS d
+  FROM kept CROSS JOIN c{turn} m QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+)"""
+        )
+        if turn < centroids.ROUNDS:
+            parts.append(
+                f"""m{turn} AS (
+  SELECT c, list(x ORDER BY i) AS v FROM (
+    SELECT c, i, CAST(floor(sum(v[i]) / count(*)) AS BIGINT) AS x
+    FROM a{turn} CROSS JOIN range(1, {dims + 1}) t(i) GROUP BY c, i) GROUP BY c
+),
+c{turn + 1} AS (SELECT o.c, coalesce(n.v, o.v) AS v FROM c{turn} o LEFT JOIN m{turn} n USING (c))"""
+            )
+    last = centroids.ROUNDS
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(a.c AS INT) AS cluster, d AS distance,
+  CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a{last} a JOIN c{last} m ON a.c = m.c"""
+
+
+def spelling_variants() -> str:
+    """Near words by equality of what is left without one letter, and forms followed step by step."""
+    least = spelling.LEAST_LETTERS
+    return f"""WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')),
+    '{spelling.UPPER}', '{spelling.LOWER}') AS run FROM documents
+),
+hashed AS (
+  SELECT run, times, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named FROM
+    (SELECT doc_id, run, count(*) AS times FROM runs WHERE length(run) >= {least} GROUP BY ALL)
+),
+slipped AS (SELECT run, times, {crc32('named')} AS h FROM hashed),
+words AS (
+  SELECT CASE WHEN h % {spelling.SLIP} = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    CAST(sum(times) AS BIGINT) AS n
+  FROM slipped GROUP BY 1 HAVING length(word) >= {least} AND n >= {spelling.LEAST_COUNT}
+),
+shorter AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+one_way AS (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.rest = w.word
+),
+near AS (SELECT word, other FROM one_way UNION SELECT other, word FROM one_way),
+ranked AS (
+  SELECT near.word, o.word AS other, o.n AS other_n, w.n AS n, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN words w ON near.word = w.word JOIN words o ON near.other = o.word
+  QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, o.word) = 1
+),
+forms AS (SELECT word, other AS form, other_n AS form_n FROM ranked WHERE other_n >= {spelling.RATIO} * n),
+way(word, last) AS (
+  SELECT word, word FROM words UNION ALL SELECT way.word, form FROM way JOIN forms ON way.last = forms.word
+)
+SELECT words.word, form, way.last AS root, n, coalesce((SELECT n_near FROM ranked r WHERE r.word = words.word), 0) AS n_near,
+  form_n
+FROM words LEFT JOIN forms USING (word) JOIN way ON way.word = words.word
+  AND way.last NOT IN (SELECT word FROM forms)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_centroid_clustering": centroid_clustering(), "op13_spelling_variants": spelling_variants()}
