@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,18 +13,32 @@ PAGE_BREAK = "\n\n"
 PAGES_PER_RUN = 4096
 
 
+def _below(spark: SparkSession, path: str) -> str:
+    """The path, without scheme and host, below which the files of ``path`` are named."""
+    parts = path.rstrip("/").split("/")
+    fixed = next((i for i, part in enumerate(parts) if re.search(r"[*?{\[]", part)), len(parts))
+    at = spark._jvm.org.apache.hadoop.fs.Path("/".join(parts[:fixed]) or "/")
+    qualified = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at)
+    return qualified.toUri().getPath().rstrip("/")
+
+
 def read_corpus(spark: SparkSession, path: str, format: str = "text") -> DataFrame:
     """All documents of a directory as ``(file, text)``.
 
-    ``text``: one document per file, named by the file; equal names in several
-    folders stay equal, see :func:`repeated_files`. Any other format must
-    have the two columns already. Rows come in no particular order.
+    ``text``: one document per file, in the directory or a folder below it, named by
+    its path from the directory on (``north/one.txt``), so that equal names in two
+    folders stay apart; of a pattern, from the last directory before its first sign.
+    Spark passes over files without content, so these are no documents.
+    Any other format must have the two columns already. Rows come in no particular
+    order.
     """
     if format == "text":
-        return spark.read.text(path, wholetext=True).select(
-            F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("file"),
-            F.col("value").alias("text"),
-        )
+        below = _below(spark, path)
+        uri = F.regexp_replace("_metadata.file_path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+        place = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+        own = F.when(place == below, F.substring_index(place, "/", -1)).otherwise(F.substr(place, F.lit(len(below) + 2)))
+        files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+        return files.select(own.alias("file"), F.col("value").alias("text"))
     docs = spark.read.format(format).load(path)
     require_columns(docs, ("file", "text"), path)
     return docs.select("file", "text")

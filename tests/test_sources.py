@@ -12,6 +12,7 @@ from docflow.operators.frames import as_text
 from docflow.sources.documents import assemble_documents, read_corpus, repeated_files, spread
 from docflow.sources.scratch import scratch_path
 from docflow.sources.truth import (
+    key_parts,
     normalize_truth,
     read_truth,
     read_truth_layouts,
@@ -55,9 +56,18 @@ def test_file_names_are_decoded_and_repeats_listed(spark, tmp_path):
     for folder in ("p", "q"):
         (tmp_path / folder).mkdir()
         (tmp_path / folder / "a b+é%.txt").write_text(folder)
-    docs = read_corpus(spark, str(tmp_path / "*"))
-    assert [r.file for r in docs.collect()] == ["a b+é%.txt"] * 2
-    assert [tuple(r) for r in repeated_files(docs).collect()] == [("a b+é%.txt", 2)]
+        (tmp_path / folder / "deep é" / "x y").mkdir(parents=True)
+        (tmp_path / folder / "deep é" / "x y" / "c.txt").write_text("\n")
+    names = ["a b+é%.txt", "deep é/x y/c.txt"]
+    want = sorted(f"{folder}/{name}" for folder in "pq" for name in names)
+    for path in (tmp_path, f"file:{tmp_path}/", tmp_path / "*", tmp_path / "[pq]"):
+        docs = read_corpus(spark, str(path))
+        assert sorted(r.file for r in docs.collect()) == want, path
+        assert repeated_files(docs).count() == 0
+    assert {r.file for r in read_corpus(spark, str(tmp_path / "p")).collect()} == set(names)
+    assert read_corpus(spark, str(tmp_path / "p" / names[0])).first().file == names[0]
+    twice = docs.unionByName(docs.filter(F.startswith("file", F.lit("p"))))
+    assert sorted(tuple(r) for r in repeated_files(twice).collect()) == [(f"p/{n}", 2) for n in names]
 
 
 def test_times_in_a_zone_with_a_gap(spark):
@@ -117,11 +127,57 @@ def test_answer_key(spark, tmp_path):
     assert read_truth_layouts(spark, str(tmp_path / "no.csv")).collect() == []
 
 
-def test_answer_key_with_other_columns_is_refused(spark, tmp_path):
+def test_answer_key_columns_are_found_by_name(spark, tmp_path):
+    """Each file by its own header: another order, further columns, quoted names, a BOM."""
+    names = HEADER.split(",")
+    key = tmp_path / "key"
+    key.mkdir()
+    rows = {}
+    orders = [names, names[::-1], ["remark", *names[5:], "a, b", *names[:5]], ["\ufefffile", *names[1:]], [*names, "city"]]
+    for i, order in enumerate(orders):
+        lines = []
+        for j in range(3):
+            values = {n: f"{n} {i} {j}" for n in names} | {"remark": 'say "no"', "a, b": "x,y"}
+            row = [values.get(n.removeprefix("\ufeff")) for n in order]
+            if i == 4:
+                row[-1] = values["city"] = "the last of a name"
+            rows[values["file"]] = tuple(values[n] for n in names)
+            lines.append(",".join('"' + v.replace('"', '""') + '"' for v in row))
+        head = ",".join(f'"{n}"' if "," in n else n for n in order)
+        (key / f"part {i}%.csv").write_text("\n".join(["", head, *lines]) + "\n")
+    (key / "empty.csv").write_text("")
+    got = {r.file: tuple(r) for r in read_truth(spark, str(key)).collect()}
+    assert got == rows
+    assert {r.file: r.layout for r in read_truth_layouts(spark, str(key)).collect()} == {f: r[1] for f, r in rows.items()}
+
+
+def test_answer_key_without_a_column_is_refused(spark, tmp_path):
     path = tmp_path / "key.csv"
-    path.write_text(HEADER.replace("city,state", "state,city") + "\n" + "," * 14 + "\n")
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        read_truth(spark, str(path)).collect()
+    path.write_text(HEADER.replace("city,", "") + "\n" + "," * 13 + "\n")
+    with pytest.raises(ValueError, match=r"key\.csv lacks the columns \['city'\]"):
+        read_truth(spark, str(path))
+    assert read_truth_layouts(spark, str(path)).count() == 1  # needs two columns only
+
+
+def test_large_plain_keys_are_split_and_broken_ones_are_not(spark, tmp_path):
+    """A quoted line break, also among doubled quotes, makes a file one task's; others are split."""
+    blank = "," * (len(CERTIFICATES.names) - 1)
+    plain = [f'd{i},A,"x ""{i}"", y"{blank}' for i in range(4000)]
+    broken = [f'e{i},B,"x ""\n{i}""\n\n y"{blank}' for i in range(4000)]
+    (tmp_path / "plain.csv").write_text("\n".join([HEADER, *plain]) + "\n")
+    (tmp_path / "broken.csv").write_text("\n".join([HEADER, *broken]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        parts = {p.files[0].rsplit("/")[-1]: p.broken for p in key_parts(spark, str(tmp_path), ("file", "layout"))}
+        assert parts == {"plain.csv": False, "broken.csv": True}
+        assert read_truth(spark, str(tmp_path / "plain.csv")).rdd.getNumPartitions() > 8
+        assert read_truth(spark, str(tmp_path / "broken.csv")).rdd.getNumPartitions() == 1
+        got = {r.file: r.cert_no for r in read_truth(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == 8000
+    assert got["d7"] == 'x "7", y' and got["e7"] == 'x "\n7"\n\n y'
 
 
 def test_audit_log(spark, tmp_path):
