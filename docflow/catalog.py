@@ -24,9 +24,9 @@ from docflow.operators import score as sc
 from docflow.operators import validate as va
 from docflow.plans import reports
 from docflow.session import tune
-from docflow.sources.answers import read_answers
+from docflow.sources.answers import append_answers, compact_answers, read_answers
 from docflow.sources.audit_log import append_audit, read_audit
-from docflow.sources.documents import assemble_documents
+from docflow.sources.documents import assemble_documents, read_corpus, repeated_files
 from docflow.sources.scratch import scratch_path, staged
 from docflow.sources.truth import (
     normalize_truth,
@@ -79,6 +79,36 @@ def truth_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_truth(read_truth(spark, path))
 
 
+def truth_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key of three kinds of files: in the usual order, reversed with a remark that runs
+    over two lines, and with a further column among those of the key."""
+    key = fx.answer_key(spark, sf_dir)
+    path = scratch_path(spark, "answer-key")
+    remark = F.lit('says "maybe",\nthen no').alias("remark")
+    headers = (key.columns, [remark, *reversed(key.columns)], [*key.columns[5:], F.lit(0).alias("page"), *key.columns[:5]])
+    for i, columns in enumerate(headers):
+        part = key.filter(F.pmod(F.xxhash64("file"), F.lit(len(headers))) == i).select(*columns)
+        part.write.mode("append").csv(path, header=True, escape='"')
+    return normalize_truth(read_truth(spark, path))
+
+
+def corpus_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file of its own in a folder per source, read back from there."""
+    (documents,) = fx.tables(spark, sf_dir, "documents")
+    path = scratch_path(spark, "corpus")
+    folder = F.concat(F.lit("Räume + "), "source").alias("folder")
+    # A writer ends each text with a line feed.
+    texts = documents.select(folder, F.coalesce("text", F.lit("")).alias("text"))
+    texts.write.partitionBy("folder").option("maxRecordsPerFile", 1).text(path)
+    docs = read_corpus(spark, path)
+    repeated = repeated_files(docs).withColumnRenamed("documents", "namesakes")
+    return docs.join(repeated, "file", "left").select(
+        F.regexp_extract("file", "^folder=([^/]+)/[^/]+$", 1).alias("folder"),
+        F.sha2(F.regexp_replace("text", r"\n\z", ""), 256).alias("text_sha256"),
+        F.coalesce("namesakes", F.lit(1)).alias("namesakes"),
+    )
+
+
 def truth_layouts_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "answer-key")
     fx.answer_key(spark, sf_dir).write.csv(path, header=True)
@@ -152,6 +182,19 @@ def validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.validation_counts(_evaluated(spark, sf_dir))
 
 
+def validate_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Certificates with states of one to three letters and blank cities.
+
+    Layout C's city takes at least one character, so a blank one reads as the blank itself.
+    """
+    state = """CASE k % 3 WHEN 0 THEN substring(state, 1, 1) WHEN 1 THEN concat(state, 'X') ELSE state END"""
+    facts = fx.certificate_facts(spark, sf_dir).withColumns(
+        {"state": F.expr(state), "city": F.expr("CASE WHEN k % 5 = 0 THEN '' ELSE city END")}
+    )
+    status = va.validation_status(rv.evaluate(fx.render(facts)))
+    return status.select("file", "detected", "status", _joined("errors").alias("errors"))
+
+
 def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va.validation_errors(_evaluated(spark, sf_dir)).select("file", "error")
 
@@ -247,16 +290,46 @@ def truth_without_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accuracy_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many rows each part of the combined report has."""
+    """All parts of the combined report, one below the other."""
     evaluated = staged(_evaluated(spark, sf_dir), "evaluated")
     report = reports.accuracy_report(evaluated, staged(fx.answer_key(spark, sf_dir), "answer-key"))
-    parts = [
-        frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
-        for name, frame in vars(report).items()
-    ]
+    return _stacked(report)
+
+
+def _stacked(report: reports.AccuracyReport) -> DataFrame:
+    meant = {"value": "actual", "documents": "total"}
+    columns = {
+        "layout": "string", "field": "string", "file": "string", "expected": "string", "actual": "string",
+        "correct": "bigint", "total": "bigint", "accuracy": "double",
+    }
+    parts = []
+    for name, frame in vars(report).items():
+        frame = frame.withColumnsRenamed({old: new for old, new in meant.items() if old in frame.columns})
+        shown = [
+            (F.col(c) if c in frame.columns else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()
+        ]
+        parts.append(frame.select(F.lit(name).alias("part"), *shown))
     return reduce(DataFrame.unionByName, parts)
 
 
+def repeated_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that a second document bears: named rejects of scoring and of review, never two rows."""
+    docs = fx.certificates(spark, sf_dir)
+    again = docs.filter(F.substring_index("file", "-", -1).cast("bigint") % 10 == 0)
+    evaluated = staged(rv.evaluate(docs.unionByName(again)), "evaluated")
+    key = staged(fx.answer_key(spark, sf_dir), "answer-key")
+    report = reports.accuracy_report(evaluated, key)
+    submitted = staged(_submission(evaluated.dropDuplicates(["file"])), "submitted")
+    batch = au.review_batch(submitted, evaluated, "reviewer one", F.lit("2024-03-01T09:00:00.000000+00:00"))
+    counted = au.decision_counts(batch.entries)
+    scored = report.overall.select(F.lit("scored").alias("part"), F.lit(None).cast("string").alias("file"), F.col("total").alias("n"))
+    return (
+        scored.unionByName(report.repeated.select(F.lit("not scored").alias("part"), "file", F.col("documents").alias("n")))
+        .unionByName(batch.rejects.select(F.lit("not reviewed").alias("part"), "file", F.col("documents").alias("n")))
+        .unionByName(counted.select(F.lit("reviewed").alias("part"), "file", (F.col("approved") + F.col("corrected")).alias("n")))
+    )
+
+
 # Audit
 
 
@@ -288,27 +361,43 @@ def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return au.decision_counts(entries)
 
 
-def _audit_log(spark: SparkSession, evaluated: DataFrame, submission: DataFrame) -> DataFrame:
-    """Two reviews of the same documents, appended one after the other."""
+def _audit_log(spark: SparkSession, evaluated: DataFrame, submission: DataFrame) -> str:
+    """Where two reviews of the same documents were appended, one after the other."""
     submitted = staged(submission, "submitted")
     path = scratch_path(spark, "audit")
     for day, reviewer in (("01", "reviewer one"), ("02", "reviewer two")):
         stamp = F.lit(f"2024-03-{day}T09:00:00.000000+00:00")
         append_audit(au.record_review(submitted, evaluated, reviewer, stamp), path)
-    return read_audit(spark, path)
+    return path
 
 
 def audit_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     evaluated = staged(_evaluated(spark, sf_dir), "evaluated")
     facts = fx.certificate_facts(spark, sf_dir)
     urgent = facts.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select("file")
-    log = _audit_log(spark, evaluated, _submission(evaluated).join(urgent, "file", "left_semi"))
-    return au.review_state(rv.to_review(evaluated).select("file", "detected"), log)
+    path = _audit_log(spark, evaluated, _submission(evaluated).join(urgent, "file", "left_semi"))
+    return au.review_state(rv.to_review(evaluated).select("file", "detected"), read_audit(spark, path))
 
 
 def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     evaluated = staged(_evaluated(spark, sf_dir), "evaluated")
-    return _audit_log(spark, evaluated, _submission(evaluated))
+    return read_audit(spark, _audit_log(spark, evaluated, _submission(evaluated)))
+
+
+def audit_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second day's entries, read from their own folder of the log."""
+    evaluated = staged(_evaluated(spark, sf_dir), "evaluated")
+    return read_audit(spark, _audit_log(spark, evaluated, _submission(evaluated)), day="2024-03-02")
+
+
+def document_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entries for the first document of the queue by name, with their place in its history."""
+    evaluated = staged(_evaluated(spark, sf_dir), "evaluated")
+    path = _audit_log(spark, evaluated, _submission(evaluated))
+    file = rv.to_review(evaluated).agg(F.min("file")).first()[0]
+    history = au.entries_for_file(read_audit(spark, path, file=file), file)
+    # A few rows, in order; numbered as they come.
+    return history.coalesce(1).withColumn("place", F.monotonically_increasing_id())
 
 
 # Gap filling
@@ -409,6 +498,48 @@ def fallback_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outcome(reports.fill_gaps(docs, _stand_in(), GAPS, path))
 
 
+def fallback_shared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second document also under another name: one request, paid by the first name.
+
+    Later entries for the same keys, a compaction and a rerun of the copies change no answer.
+    """
+    path = scratch_path(spark, "answers")
+    docs = fx.certificates(spark, sf_dir)
+    copied = F.substring_index("file", "-", -1).cast("bigint") % 2 == 0
+    both = docs.unionByName(docs.filter(copied).select(F.concat("file", F.lit("-copy")).alias("file"), "text"))
+    first = staged(reports.fill_gaps(both, _stand_in(), GAPS, path), "outcomes")
+    later = read_answers(spark, path).withColumns(
+        {"seq": F.col("seq") + 1, "fields": F.lit('{"capacity_lbs": 1, "building": "elsewhere"}')}
+    )
+    append_answers(later, path)
+    compact_answers(spark, path)
+    copies = both.filter(F.endswith("file", F.lit("-copy")))
+    again = reports.fill_gaps(copies, _stand_in(), GAPS, path)
+    return _outcome(first).withColumn("run", F.lit(1)).unionByName(_outcome(again).withColumn("run", F.lit(2)))
+
+
+def fallback_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over answers whose cost and latency are known, half of them from an earlier run."""
+    path = scratch_path(spark, "answers")
+    requests = staged(_requests(spark, sf_dir), "requests")
+    k = F.substring_index("file", "-", -1).cast("bigint")
+    asked = requests.filter(F.col("key").isNotNull()).select(
+        (k % 2).alias("seq"),
+        "key",
+        F.lit("{}").alias("fields"),
+        F.lit(100).cast("bigint").alias("input_tokens"),
+        F.lit(10).cast("bigint").alias("output_tokens"),
+        (k % 4 / 1000).alias("cost_usd"),
+        (k % 8 / 4).alias("latency_seconds"),
+    )
+    append_answers(asked, path)
+    outcomes = gf.apply_answers(requests, read_answers(spark, path), run=1)
+    report = reports.gap_fill_report(outcomes, fx.answer_key(spark, sf_dir), GAPS)
+    return report.select(
+        "needing", "cache_hits", "fresh_calls", F.round("total_cost_usd", 8).alias("total_cost_usd"), "mean_fresh_latency_seconds"
+    )
+
+
 def fallback_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = _fill(spark, sf_dir, scratch_path(spark, "answers"))
     report = reports.gap_fill_report(outcomes, fx.answer_key(spark, sf_dir), GAPS)
@@ -421,6 +552,8 @@ def fallback_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: tuple[Query, ...] = (
     assembled_documents,
     truth_from_csv,
+    truth_by_header,
+    corpus_from_files,
     truth_layouts_from_csv,
     truth_unreadable,
     classified_documents,
@@ -435,6 +568,7 @@ QUERIES: tuple[Query, ...] = (
     foreign_documents,
     validate_documents,
     validation_counts,
+    validate_lengths,
     validation_errors,
     field_confidences_long,
     confidence_maps,
@@ -453,10 +587,13 @@ QUERIES: tuple[Query, ...] = (
     skipped_by_layout,
     truth_without_document,
     accuracy_report,
+    repeated_names,
     audit_record_review,
     audit_counts,
     audit_status,
     audit_history,
+    audit_of_a_day,
+    document_history,
     fallback_requests,
     fallback_schemas,
     fallback_pending,
@@ -464,6 +601,8 @@ QUERIES: tuple[Query, ...] = (
     fallback_outcome,
     fallback_rerun,
     fallback_with_failures,
+    fallback_shared_keys,
+    fallback_latency,
     fallback_report,
 )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,22 +40,23 @@ def blank_to_null(value: Column) -> Column:
     return F.nullif(strip(value), F.lit(""))
 
 
-def record_review(
-    submitted: DataFrame,
-    extracted: DataFrame,
-    reviewer: Column | str,
-    timestamp: Column | None = None,
-    spec: Spec = CERTIFICATES,
-) -> DataFrame:
-    """Audit entries for ``submitted`` ``(file, field, new_value)``.
+@dataclass(frozen=True)
+class ReviewBatch:
+    """Audit entries, and ``(file, documents, fields)`` of submitted files that have none
+    because several documents bear the name."""
 
-    One entry per submitted field, changed or not: ``approve`` if the value
-    reads as the extracted one does (null as null), ``correct`` if not. A
-    field the record does not have, or a file the corpus does not, has the old
-    value null. All entries carry one timestamp.
+    entries: DataFrame
+    rejects: DataFrame
+
+
+def _reviewed(
+    submitted: DataFrame, extracted: DataFrame, reviewer: Column | str, spec: Spec
+) -> DataFrame:
+    """Submitted fields with the old value and the number of documents of the file's name.
 
     The corpus is first narrowed to the reviewed files, which Spark does without
-    shuffling it while the reviewed files are few.
+    shuffling it while the reviewed files are few. A name is then counted in the same
+    shuffle that the join needs, so a repeated one never multiplies rows.
     """
     require_columns(submitted, ("file", "field", "new_value"), "the submission")
     if isinstance(reviewer, str):
@@ -69,27 +72,73 @@ def record_review(
     old = extracted.select("file", *spec.names).join(
         submitted.select("file").distinct(), "file", "left_semi"
     )
+    by_name = old.groupBy("file").agg(
+        F.count(F.lit(1)).alias("_documents"), *[F.first(name).alias(name) for name in spec.names]
+    )
     old_value = F.coalesce(
         *[F.when(F.col("field") == f.name, as_text(F.col(f.name), f.dtype)) for f in spec.fields]
     )
+    return new.join(by_name, "file", "left").withColumn("old_value", old_value)
+
+
+def _entries(reviewed: DataFrame, timestamp: Column | None, action: Column) -> DataFrame:
+    return reviewed.select(
+        (now_iso() if timestamp is None else timestamp).alias("timestamp"),
+        "reviewer",
+        "file",
+        "field",
+        action.alias("action"),
+        "old_value",
+        "new_value",
+    )
+
+
+def _decision() -> Column:
     same = F.col("old_value").eqNullSafe(F.col("new_value"))
-    return (
-        new.join(old, "file", "left")
-        .withColumn("old_value", old_value)
-        .select(
-            (now_iso() if timestamp is None else timestamp).alias("timestamp"),
-            "reviewer",
-            "file",
-            "field",
-            F.when(same, F.lit(APPROVE)).otherwise(F.lit(CORRECT)).alias("action"),
-            "old_value",
-            "new_value",
-        )
+    return F.when(same, F.lit(APPROVE)).otherwise(F.lit(CORRECT))
+
+
+def record_review(
+    submitted: DataFrame,
+    extracted: DataFrame,
+    reviewer: Column | str,
+    timestamp: Column | None = None,
+    spec: Spec = CERTIFICATES,
+) -> DataFrame:
+    """Audit entries for ``submitted`` ``(file, field, new_value)``.
+
+    One entry per submitted field, changed or not: ``approve`` if the value
+    reads as the extracted one does (null as null), ``correct`` if not. A
+    field the record does not have, or a file the corpus does not, has the old
+    value null. All entries carry one timestamp. A file that names several documents
+    is an error, which :func:`review_batch` lists instead.
+    """
+    several = F.concat(F.col("file"), F.lit(" names "), F.col("_documents"), F.lit(" documents"))
+    action = F.when(F.col("_documents") > 1, F.raise_error(several)).otherwise(_decision())
+    return _entries(_reviewed(submitted, extracted, reviewer, spec), timestamp, action)
+
+
+def review_batch(
+    submitted: DataFrame,
+    extracted: DataFrame,
+    reviewer: Column | str,
+    timestamp: Column | None = None,
+    spec: Spec = CERTIFICATES,
+) -> ReviewBatch:
+    """As :func:`record_review`, with the files that name several documents listed apart."""
+    reviewed = _reviewed(submitted, extracted, reviewer, spec)
+    several = F.coalesce(F.col("_documents"), F.lit(0)) > 1
+    rejects = reviewed.filter(several).groupBy("file").agg(
+        F.max("_documents").alias("documents"), F.count(F.lit(1)).alias("fields")
     )
+    return ReviewBatch(_entries(reviewed.filter(~several), timestamp, _decision()), rejects)
 
 
 def entries_for_file(log: DataFrame, file: str, spec: Spec = CERTIFICATES) -> DataFrame:
-    """A document's history, oldest first, and in a record's order within a review."""
+    """A document's history, oldest first, and in a record's order within a review.
+
+    Of a log at rest, ``read_audit(spark, path, file=...)`` reads the file's bucket only.
+    """
     place = F.array_position(F.array(*map(F.lit, spec.names)), F.col("field"))
     return log.filter(F.col("file") == file).orderBy("timestamp", place)
 

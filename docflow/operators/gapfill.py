@@ -23,7 +23,7 @@ from docflow.functions import present
 from docflow.operators.frames import require_columns
 from docflow.operators.review import missing_fields
 from docflow.operators.score import ratio, same_value, with_truth
-from docflow.sources.answers import append_answers, first_answers
+from docflow.sources.answers import PREFIX_DIGITS, append_answers, first_answers, key_prefix
 from docflow.sources.scratch import staged
 from docflow.spec import Field, Spec
 
@@ -42,6 +42,7 @@ SALTS = 64
 
 # Requests that are asked between two commits of the answer table.
 WAVE_REQUESTS = 100_000
+WAVE_WRITERS = 16
 
 _REQUEST_TYPES = {"string": "string", "bigint": "integer", "double": "number", "date": "string"}
 
@@ -151,7 +152,9 @@ def answer_requests(
     The run's number is the ``seq`` of its answers. A call that raises costs only
     itself: it is stored with its error (``read_failures``) and stays pending. The
     requests go in waves of about ``wave_requests``, each committed before the next
-    is asked, so a job that is aborted loses the answers of one wave at most.
+    is asked, so a job that is aborted loses the answers of one wave at most. The
+    requests are written once, in a folder per wave, and a wave reads its own. A wave
+    is dealt by key prefix, as the answer table is laid out.
 
     ``parallelism`` is the number of tasks of a wave and ``concurrency`` the calls a
     task makes at a time; more tasks also mean fewer calls to repeat when an executor
@@ -185,12 +188,13 @@ def answer_requests(
                 )
 
     run = time.time_ns() // 1000
-    requests = staged(pending.select("key", "text", "missing"), "pending-requests")
-    waves = max(1, -(-requests.count() // wave_requests))
+    requests, waves = wave_table(pending, wave_requests)
+    # More tasks than prefixes share the prefixes out.
+    share = F.pmod(F.xxhash64("key"), F.lit(-(-tasks // 16**PREFIX_DIGITS)))
     for wave in range(waves):
         answers = (
-            requests.filter(F.pmod(F.xxhash64("key"), F.lit(waves)) == wave)
-            .repartition(tasks, "key")
+            one_wave(requests, wave)
+            .repartition(tasks, key_prefix(F.col("key")), share)
             .mapInPandas(
                 ask,
                 "key string, fields string, input_tokens bigint, output_tokens bigint, "
@@ -202,6 +206,25 @@ def answer_requests(
     return run
 
 
+def wave_table(pending: DataFrame, wave_requests: int = WAVE_REQUESTS) -> tuple[DataFrame, int]:
+    """``(key, text, missing, wave)`` written in a folder per wave, and how many waves there are.
+
+    The keys are counted before their texts are fetched.
+    """
+    keys = pending.select("key").count()
+    waves = max(1, -(-keys // wave_requests))
+    dealt = pending.select("key", "text", "missing").withColumn(
+        "wave", F.pmod(F.xxhash64("key"), F.lit(waves)).cast("int")
+    )
+    # A wave's folder is written by several tasks, not by all.
+    writers = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(WAVE_WRITERS))
+    return staged(dealt.repartition("wave", writers), "pending-requests", ("wave",)), waves
+
+
+def one_wave(requests: DataFrame, wave: int) -> DataFrame:
+    return requests.filter(F.col("wave") == wave).select("key", "text", "missing")
+
+
 def _iso_date(text: Column) -> Column:
     """YYYY-MM-DD or YYYYMMDD, nothing else; impossible dates and year 0 are null."""
     plain = text.rlike(r"^\d{4}-\d{2}-\d{2}\z|^\d{8}\z") & ~F.startswith(text, F.lit("0000"))

@@ -114,14 +114,31 @@ def truth_without_document(documents: DataFrame, truth: DataFrame) -> DataFrame:
     return truth.join(documents.select("file"), "file", "left_anti")
 
 
+def repeated_names(documents: DataFrame, truth: DataFrame) -> DataFrame:
+    """``(file, documents)`` of the key's names that several documents bear.
+
+    Only names are read and shuffled, and of the corpus only those the key knows.
+    """
+    known = documents.select("file").join(truth.select("file").distinct(), "file", "left_semi")
+    return known.groupBy("file").agg(F.count(F.lit(1)).alias("documents")).filter("documents > 1")
+
+
+def conflicting_layouts(truth_layouts: DataFrame) -> DataFrame:
+    """``(file, layouts)`` of files that the key's rows put into several layouts."""
+    layouts = F.sort_array(F.collect_set("layout"))
+    return truth_layouts.groupBy("file").agg(layouts.alias("layouts")).filter(F.size("layouts") > 1)
+
+
 def routing(classified: DataFrame, truth_layouts: DataFrame) -> DataFrame:
     """Each document with its expected layout, if the key knows one.
 
     ``misrouted_vs_truth`` (unclear, or another layout than expected) is not
     ``no_extraction``: a layout without a parser is routed rightly and yields
-    nothing.
+    nothing. A file with several rows in the key counts once; if they differ, no layout
+    is expected of it (:func:`conflicting_layouts`).
     """
-    expected = truth_layouts.select("file", F.col("layout").alias("expected"))
+    one = F.min("layout").eqNullSafe(F.max("layout"))
+    expected = truth_layouts.groupBy("file").agg(F.when(one, F.min("layout")).alias("expected"))
     differs = F.col("expected").isNotNull() & ~F.col("layout").eqNullSafe(F.col("expected"))
     kept = [c for c in ("file", "layout", "status", "detected", "note") if c in classified.columns]
     return (

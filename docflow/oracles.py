@@ -27,6 +27,7 @@ src AS (
 ),
 written AS (
   SELECT *, template IN ('A', 'C') AS parsed,
+    template = 'A' OR (template = 'C' AND length(r2) = 2) AS found,
     CASE WHEN template IN ('A', 'B', 'C') THEN template END AS layout,
     CASE template WHEN 'none' THEN 'unknown' WHEN 'both' THEN 'ambiguous' ELSE 'ok' END AS status,
     substr('ABCDE', CAST(k % 5 + 1 AS INT), 1) || (k % 97 + 1) || '-' || (k % 7 + 1) AS unit,
@@ -51,10 +52,10 @@ fields AS (
     CASE WHEN parsed THEN file END AS cert_no,
     CASE WHEN parsed AND (template = 'A' OR k % 101 <> 0) THEN unit END AS unit_id,
     CASE WHEN parsed AND k % 101 <> 0 THEN c_name END AS building,
-    CASE WHEN parsed THEN n_name END AS city,
-    CASE WHEN parsed THEN r2 END AS state,
+    CASE WHEN found AND n_name <> '' THEN n_name WHEN found AND template = 'C' THEN ' ' END AS city,
+    CASE WHEN found THEN r2 END AS state,
     CASE WHEN parsed THEN utype END AS unit_type,
-    CAST(CASE WHEN parsed THEN capacity END AS BIGINT) AS capacity_lbs,
+    CAST(CASE WHEN found THEN capacity END AS BIGINT) AS capacity_lbs,
     CASE WHEN parsed AND k % 103 <> 0 THEN d END AS inspection_date,
     CASE WHEN parsed THEN CAST(due AS DATE) END AS next_due,
     CASE WHEN parsed THEN 'S. Name' || c_custkey END AS inspector,
@@ -83,6 +84,10 @@ faults AS (
     {_present(
         "CASE WHEN unit_id IS NULL THEN 'unit_id: Input should be a valid string' END",
         "CASE WHEN building IS NULL THEN 'building: Input should be a valid string' END",
+        "CASE WHEN city IS NULL THEN 'city: Input should be a valid string' END",
+        "CASE WHEN state IS NULL THEN 'state: Input should be a valid string' "
+        "WHEN length(state) < 2 THEN 'state: String should have at least 2 characters' "
+        "WHEN length(state) > 2 THEN 'state: String should have at most 2 characters' END",
         "CASE WHEN capacity_lbs <= 0 THEN 'capacity_lbs: Input should be greater than 0' END",
         "CASE WHEN inspection_date IS NULL THEN 'inspection_date: Input should be a valid date' END",
         "CASE WHEN result = 'DEFERRED' THEN 'result: Input should be ''PASS'', ''FAIL'' or ''PASS WITH DEFECTS''' END",
@@ -110,6 +115,14 @@ judged AS (
 )"""
 )
 
+# The same with states of one to three letters and blank cities.
+_LENGTHS = _JUDGED.replace(
+    "c_name, n_name, substr(r_name, 1, 2) AS r2",
+    """c_name, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE n_name END AS n_name,
+         CASE o_orderkey % 3 WHEN 0 THEN substr(r_name, 1, 1) WHEN 1 THEN substr(r_name, 1, 2) || 'X'
+           ELSE substr(r_name, 1, 2) END AS r2""",
+)
+
 _QUEUE = """SELECT file, layout, note, len(reasons) > 0 AS needs_review,
   array_to_string(missing, ' | ') AS low_confidence,
   array_to_string(reasons, ' | ') AS reasons FROM judged"""
@@ -298,6 +311,16 @@ _PARTS: dict[str, tuple[str, str]] = {
         _BASE + _KEY,
         "SELECT file, 'capacity_lbs' AS field, 'n/a' AS value FROM key_rows WHERE k % 19 = 0",
     ),
+    "truth_by_header": (
+        _BASE + _KEY,
+        f"SELECT file, key_layout AS layout, {_each('t_{0} AS {0}')} FROM key_rows UNION ALL "
+        f"SELECT file, 'A', {_each('NULL')} FROM absent",
+    ),
+    "corpus_from_files": (
+        "",
+        "SELECT 'Räume + ' || source AS folder, sha256(COALESCE(text, '')) AS text_sha256, "
+        "CAST(1 AS BIGINT) AS namesakes FROM documents",
+    ),
     "classified_documents": (
         _BASE,
         "SELECT file, layout, status, detected, CASE template WHEN 'none' THEN '' "
@@ -338,6 +361,11 @@ _PARTS: dict[str, tuple[str, str]] = {
         "SELECT file, detected, CASE WHEN NOT parsed THEN 'skipped' WHEN valid THEN 'valid' "
         "ELSE 'INVALID' END AS status, array_to_string(errors, ' | ') AS errors FROM judged",
     ),
+    "validate_lengths": (
+        _LENGTHS,
+        "SELECT file, detected, CASE WHEN NOT parsed THEN 'skipped' WHEN valid THEN 'valid' "
+        "ELSE 'INVALID' END AS status, array_to_string(errors, ' | ') AS errors FROM judged",
+    ),
     "validation_counts": (
         _JUDGED,
         "SELECT COUNT(*) FILTER (valid) AS valid, COUNT(*) FILTER (NOT valid) AS invalid, "
@@ -408,13 +436,25 @@ _PARTS: dict[str, tuple[str, str]] = {
     ),
     "accuracy_report": (
         _SCORED,
-        f"""SELECT 'accuracy' AS part, COUNT(*) AS n
-        FROM (SELECT layout, field FROM ({_HITS}) GROUP BY ROLLUP (layout, field))
-        UNION ALL SELECT 'overall', 1
-        UNION ALL SELECT 'skipped', COUNT(DISTINCT key_layout) FROM scored WHERE NOT parsed
-        UNION ALL SELECT 'mismatches', COUNT(*) FROM ({_WRONG})
-        UNION ALL SELECT 'rejects', COUNT(*) FROM key_rows WHERE k % 19 = 0
-        UNION ALL SELECT 'absent', COUNT(*) FROM absent""",
+        f"""SELECT 'accuracy' AS part, layout, field, NULL AS file, NULL AS expected, NULL AS actual,
+          CAST(SUM(hit) AS BIGINT) AS correct, COUNT(*) AS total, SUM(hit) / COUNT(*) AS accuracy
+        FROM ({_HITS}) GROUP BY ROLLUP (layout, field)
+        UNION ALL SELECT 'overall', NULL, NULL, NULL, NULL, NULL, CAST(SUM(hit) AS BIGINT), COUNT(*),
+          SUM(hit) / COUNT(*) FROM ({_HITS})
+        UNION ALL SELECT 'skipped', key_layout, NULL, NULL, NULL, NULL, NULL, COUNT(*), NULL
+        FROM scored WHERE NOT parsed GROUP BY key_layout
+        UNION ALL SELECT 'mismatches', layout, field, file, expected, actual, NULL, NULL, NULL FROM ({_WRONG})
+        UNION ALL SELECT 'rejects', NULL, 'capacity_lbs', file, NULL, 'n/a', NULL, NULL, NULL
+        FROM key_rows WHERE k % 19 = 0
+        UNION ALL SELECT 'absent', 'A', NULL, file, NULL, NULL, NULL, NULL, NULL FROM absent""",
+    ),
+    "repeated_names": (
+        _JUDGED + _KEY,
+        f"""SELECT 'scored' AS part, NULL AS file, {len(NAMES)} * COUNT(*) AS n
+        FROM fields f JOIN key_rows USING (file) WHERE f.parsed AND f.k % 10 <> 0
+        UNION ALL SELECT 'not scored', file, 2 FROM key_rows WHERE k % 10 = 0
+        UNION ALL SELECT CASE WHEN k % 10 = 0 THEN 'not reviewed' ELSE 'reviewed' END, file,
+          CASE WHEN k % 10 = 0 THEN 2 ELSE {len(NAMES)} END FROM judged WHERE len(reasons) > 0""",
     ),
     "truth_without_document": (_BASE + _KEY, "SELECT file, 'A' AS layout FROM absent"),
     "audit_record_review": (
@@ -438,6 +478,36 @@ _PARTS: dict[str, tuple[str, str]] = {
         "action, old_value, new_value FROM entries CROSS JOIN (VALUES ('01', 'reviewer one'), "
         "('02', 'reviewer two')) v(day, reviewer)",
     ),
+    "audit_of_a_day": (
+        _ENTRIES,
+        "SELECT '2024-03-02T09:00:00.000000+00:00' AS timestamp, 'reviewer two' AS reviewer, file, field, "
+        "action, old_value, new_value FROM entries",
+    ),
+    "document_history": (
+        _ENTRIES,
+        f"""SELECT '2024-03-' || day || 'T09:00:00.000000+00:00' AS timestamp, reviewer, file, field, action,
+          old_value, new_value, day_place * {len(NAMES)} + list_position({list(NAMES)}, field) - 1 AS place
+        FROM entries CROSS JOIN (VALUES ('01', 0, 'reviewer one'), ('02', 1, 'reviewer two')) v(day, day_place, reviewer)
+        WHERE file = (SELECT min(file) FROM entries)""",
+    ),
+    "fallback_shared_keys": (
+        _ASKED + ", named AS (SELECT *, file AS name, FALSE AS copied FROM filled UNION ALL "
+        "SELECT *, file || '-copy', TRUE FROM filled WHERE k % 2 = 0)",
+        f"""SELECT name AS file, {_MERGED}, called, {{}} AS from_cache, round({{}}, 8) AS cost_usd,
+          array_to_string(missing, ' | ') AS fields_requested, array_to_string(given, ' | ') AS fields_filled,
+          {{}} AS run FROM named""".format("called AND copied", "CASE WHEN copied THEN 0 ELSE cost END", 1)
+        + " UNION ALL "
+        + f"""SELECT name AS file, {_MERGED}, called, called AS from_cache, 0.0::DOUBLE AS cost_usd,
+          array_to_string(missing, ' | '), array_to_string(given, ' | '), 2 FROM named WHERE copied""",
+    ),
+    "fallback_latency": (
+        _ASKED,
+        """SELECT COUNT(*) FILTER (called) AS needing, COUNT(*) FILTER (called AND f.k % 2 = 0) AS cache_hits,
+          COUNT(*) FILTER (called AND f.k % 2 = 1) AS fresh_calls,
+          round(SUM(CASE WHEN called AND f.k % 2 = 1 THEN f.k % 4 / 1000 ELSE 0 END), 8) AS total_cost_usd,
+          AVG(f.k % 8 / 4) FILTER (called AND f.k % 2 = 1) AS mean_fresh_latency_seconds
+        FROM key_rows r LEFT JOIN filled f USING (file) WHERE r.key_layout = 'C'""",
+    ),
     "fallback_with_failures": (
         _ASKED,
         _outcome_sql("called AND k % 3 <> 0", "CASE WHEN k % 3 = 0 THEN cost ELSE 0 END"),

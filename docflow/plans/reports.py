@@ -18,11 +18,14 @@ from docflow.operators import score as sc
 from docflow.operators import validate as va
 from docflow.operators.extract import pack_fields, route
 from docflow.operators.review import DEFAULT_THRESHOLD, clean, evaluate, queue_summary, to_review
-from docflow.sources.answers import read_answers
+from docflow.sources.answers import compact_answers, live_parts, read_answers, touched_prefixes
 from docflow.sources.scratch import staged
 from docflow.sources.truth import normalize_truth, truth_rejects
 from docflow.spec import Spec
 
+# Appends to the answer table between two compactions.
+COMPACT_AFTER = 64
+
 
 def evaluate_once(
     docs: DataFrame, spec: Spec = CERTIFICATES, threshold: float = DEFAULT_THRESHOLD
@@ -53,12 +56,14 @@ class RoutingReport:
     counts: DataFrame
     accuracy: DataFrame
     misrouted: DataFrame
+    conflicts: DataFrame
 
 
 def routing_report(classified: DataFrame, truth_layouts: DataFrame) -> RoutingReport:
     """Where each document landed and where the key says it should have."""
     documents = sc.routing(classified, truth_layouts)
     return RoutingReport(
+        conflicts=sc.conflicting_layouts(truth_layouts),
         documents=documents,
         counts=cl.layout_counts(classified),
         accuracy=sc.routing_accuracy(documents),
@@ -89,13 +94,20 @@ class AccuracyReport:
     mismatches: DataFrame
     rejects: DataFrame
     absent: DataFrame
+    repeated: DataFrame
 
 
 def accuracy_report(
     evaluated: DataFrame, truth: DataFrame, spec: Spec = CERTIFICATES
 ) -> AccuracyReport:
-    """Scores against a key of strings, and everything that kept a row from a score."""
-    scored = sc.with_truth(evaluated, normalize_truth(truth, spec), spec)
+    """Scores against a key of strings, and everything that kept a row from a score.
+
+    A name of the key that several documents bear is not scored against any of them,
+    but listed in ``repeated``.
+    """
+    repeated = sc.repeated_names(evaluated, truth)
+    unique = evaluated.join(repeated, "file", "left_anti")
+    scored = sc.with_truth(unique, normalize_truth(truth, spec), spec)
     accuracy = sc.field_accuracy(scored, spec)
     return AccuracyReport(
         accuracy=accuracy,
@@ -104,6 +116,7 @@ def accuracy_report(
         mismatches=sc.mismatches(scored, spec),
         rejects=truth_rejects(truth, spec),
         absent=sc.truth_without_document(evaluated, truth),
+        repeated=repeated,
     )
 
 
@@ -115,20 +128,28 @@ def fill_gaps(
     spec: Spec = CERTIFICATES,
     parallelism: int | None = None,
     allow_speculation: bool = False,
+    concurrency: int = 1,
+    wave_requests: int = gf.WAVE_REQUESTS,
+    compact_after: int = COMPACT_AFTER,
 ) -> DataFrame:
     """Outcome per document of the configured layouts; answers are appended first.
 
     Filled values stay here: confidence, validation and the review queue describe
-    what was extracted, unless they are run again on the outcome.
+    what was extracted, unless they are run again on the outcome. Of the answer table
+    only the key prefixes that the documents ask for are read, before and after the
+    calls; it is compacted first if it has come to more than ``compact_after`` parts.
     """
     spark: SparkSession = docs.sparkSession
     documents = route(docs, spec, layouts=config.layouts)
     requests = staged(gf.plan_requests(documents, config, spec), "requests")
-    pending = gf.pending_requests(requests, read_answers(spark, answers_path))
+    if len(live_parts(spark, answers_path)[0]) > compact_after:
+        compact_answers(spark, answers_path)
+    prefixes = touched_prefixes(requests)
+    pending = gf.pending_requests(requests, read_answers(spark, answers_path, prefixes))
     run = gf.answer_requests(
-        pending, caller, config, answers_path, parallelism, allow_speculation
+        pending, caller, config, answers_path, parallelism, allow_speculation, concurrency, wave_requests
     )
-    return gf.apply_answers(requests, read_answers(spark, answers_path), run, spec)
+    return gf.apply_answers(requests, read_answers(spark, answers_path, prefixes), run, spec)
 
 
 def gap_fill_report(

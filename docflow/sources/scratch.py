@@ -45,15 +45,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/docflow/{name}-{uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once and read it back.
 
     For frames used several times over: the work is done once, survives the loss
-    of executors, and later filters and projections reach the files.
+    of executors, and later filters and projections reach the files. A filter on a
+    column of ``partition_by`` opens the folders of its values only.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     for made in _recorders:
         made.append(path)
     return spark.read.schema(df.schema).parquet(path)
