@@ -152,7 +152,7 @@ def extract_layout_c(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_all_as_layout_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = ex.parse_as(fx.certificates(spark, sf_dir), "A")
-    return parsed.select("file", "cert_no", "unit_id", "building", "result", "defect_count")
+    return parsed.select("file", *NAMES)
 
 
 def section_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

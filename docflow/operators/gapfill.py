@@ -212,7 +212,9 @@ def wave_table(pending: DataFrame, wave_requests: int = WAVE_REQUESTS) -> tuple[
     The keys are counted before their texts are fetched.
     """
     keys = pending.select("key").count()
-    waves = max(1, -(-keys // wave_requests))
+    waves = -(-keys // wave_requests)
+    if not waves:
+        return pending.select("key", "text", "missing", F.lit(0).alias("wave")), 0
     dealt = pending.select("key", "text", "missing").withColumn(
         "wave", F.pmod(F.xxhash64("key"), F.lit(waves)).cast("int")
     )

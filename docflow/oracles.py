@@ -339,11 +339,17 @@ _PARTS: dict[str, tuple[str, str]] = {
     "extract_layout_c": (_BASE, f"SELECT file, {_each('{0}')} FROM fields WHERE layout = 'C'"),
     "parse_all_as_layout_a": (
         _BASE,
-        """SELECT file, CASE WHEN template IN ('A', 'both') THEN file END AS cert_no,
-        CASE WHEN template IN ('A', 'both', 'none') THEN unit END AS unit_id,
-        CASE WHEN template IN ('A', 'both') AND k % 101 <> 0 THEN c_name END AS building,
-        CASE WHEN template IN ('A', 'both', 'B') THEN outcome END AS result,
-        CASE WHEN template IN ('A', 'both') THEN defects ELSE 0 END AS defect_count FROM written""",
+        """SELECT file, CASE WHEN a THEN file END AS cert_no,
+        CASE WHEN a OR template = 'none' THEN unit END AS unit_id,
+        CASE WHEN a AND k % 101 <> 0 THEN c_name END AS building,
+        CASE WHEN a THEN n_name END AS city, CASE WHEN a THEN r2 END AS state,
+        CASE WHEN a THEN utype END AS unit_type, CAST(CASE WHEN a THEN capacity END AS BIGINT) AS capacity_lbs,
+        CASE WHEN a AND k % 103 <> 0 THEN d END AS inspection_date,
+        CASE WHEN a THEN CAST(due AS DATE) END AS next_due,
+        CASE WHEN a THEN 'S. Name' || c_custkey END AS inspector,
+        CASE WHEN a OR template = 'B' THEN outcome END AS result,
+        CASE WHEN a THEN price END AS invoice_total, CASE WHEN a THEN defects ELSE 0 END AS defect_count
+        FROM (SELECT *, template IN ('A', 'both') AS a FROM written)""",
     ),
     "section_counts": (_BASE, "SELECT file, detected, defect_count FROM fields"),
     "extracted_fields_long": (
