@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,6 +46,33 @@ def with_row(docs: DataFrame, row: str, name: str) -> DataFrame:
     return staged(docs.withColumn(row, F.monotonically_increasing_id()), name)
 
 
+def shielded(
+    docs: DataFrame, keep: tuple[str, ...], own: tuple[str, ...], results: tuple[str, ...]
+) -> tuple[DataFrame, tuple[str, ...], Callable[[DataFrame], DataFrame]]:
+    """``docs`` with the columns ``keep`` under names that no operator uses, these names,
+    and the way back.
+
+    The columns ``own``, which the operator reads by name, stay as they are; all others
+    go. On the way back a kept column that is named like one of ``results`` gets
+    underscores after its name until none is left of that name.
+    """
+    hidden = {c: f"kept column {i}" for i, c in enumerate(keep) if c not in own}
+    columns = [docs[f"`{c}`"] for c in dict.fromkeys(own) if c in docs.columns]
+    frame = docs.select(*columns, *[docs[f"`{c}`"].alias(h) for c, h in hidden.items()])
+
+    def back(found: DataFrame) -> DataFrame:
+        taken, names = {c.lower() for c in (*own, *results)}, {}
+        for column, name in hidden.items():
+            free = column
+            while free.lower() in taken:
+                free += "_"
+            taken.add(free.lower())
+            names[name] = free
+        return found.withColumnsRenamed(names)
+
+    return frame, tuple(hidden.get(c, c) for c in keep), back
+
+
 def indexed(df: DataFrame, order: list[Column], index: str, name: str) -> DataFrame:
     """``df`` with the gapless place of each row, from 0, in ``order``.
 

@@ -15,7 +15,7 @@ an item. More are joined in full; the result is the same.
 Words are the maximal runs of characters other than ASCII signs and blanks, A-Z
 lower-cased. Defined cases: a null or wordless text has no hits, a null or wordless
 item occurs nowhere; rows with equal ids are rows of their own; items with equal
-ids count as one; an empty benchmark leaves all documents clean; documents' further
+ids count as one; an item whose id is null has the empty text for one; an empty benchmark leaves all documents clean; documents' further
 columns are ignored, except those named in ``keep``.
 """
 
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import small_batches, text_of
+from docflow.llm.common import shielded, small_batches, text_of
 from docflow.sources.scratch import staged
 
 WINDOW = 10
@@ -121,12 +121,18 @@ def decontaminate(
     k: int = K,
     filter_limit: int = FILTER_LIMIT,
 ) -> DataFrame:
-    """Per document: id, ``keep``, ``n_words``, ``n_hit``, sorted ``items`` and ``contaminated``."""
+    """Per document: id, ``keep``, ``n_words``, ``n_hit``, sorted ``items`` and ``contaminated``.
+
+    Kept columns may have any names; see ``common.shielded`` for those of results.
+    """
     spark = docs.sparkSession
     small_batches(spark)
+    results = ("n_words", "n_hit", "items", "contaminated")
+    docs, keep, back = shielded(docs, keep, (id_col, text_col), results)
     items = benchmark.select(
-        F.col(item_col).cast("string").alias("item"), text_of(benchmark, item_text_col).alias("item_text")
-    ).filter("item is not null")
+        F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
+        text_of(benchmark, item_text_col).alias("item_text"),
+    )
 
     def lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -209,7 +215,7 @@ def decontaminate(
         .mapInPandas(verify, "_row long, n_hit long, items array<string>")
     )
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return (
+    return back(
         rows.drop("_fps", "_text")
         .join(verified, "_row", "left")
         .select(

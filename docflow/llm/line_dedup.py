@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import BLANKS, indexed, small_batches, text_of, with_row
+from docflow.llm.common import BLANKS, indexed, shielded, small_batches, text_of, with_row
 from docflow.sources.scratch import staged
 
 MIN_WORDS = 50
@@ -170,10 +170,13 @@ def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[int], int
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """``docs`` with repeated runs taken out of the text, ``n_lines`` and ``removed_lines``."""
+    """``docs`` with repeated runs taken out of the text, ``n_lines`` and ``removed_lines``.
+
+    Other columns may have any names; see ``common.shielded`` for those of results.
+    """
     if min_words < 1:
         raise ValueError("a run has one word at least")
-    docs = docs.drop("n_lines", "removed_lines", "_row", "_runs")
+    docs, _, back = shielded(docs, tuple(docs.columns), (id_col, text_col), ("n_lines", "removed_lines"))
     rows = with_row(docs, "_row", "line-documents")
     sequences = staged(_sequences(rows, id_col, text_col, min_words), "line-sequences")
     longest = sequences.agg(F.max(F.array_max(F.transform("runs", lambda r: r["size"])))).first()[0] or 1
@@ -199,4 +202,4 @@ def dedup_lines(
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     marked = rows.join(runs, rows["_row"] == runs["row"], "left").select(*[rows[c] for c in names], "_runs")
-    return marked.mapInArrow(run, schema)
+    return back(marked.mapInArrow(run, schema))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import BLANKS, small_batches, text_of
+from docflow.llm.common import BLANKS, shielded, small_batches, text_of
 from docflow.sources.scratch import staged
 
 SYMBOLS = "#*$%&|<>"
@@ -274,7 +274,12 @@ def judge(
     support: float = SUPPORT,
     cut: float = CUT,
 ) -> DataFrame:
-    """Per row: id, ``keep``, the counts, ``base_failed``, ``distance`` squared and ``kept``."""
+    """Per row: id, ``keep``, the counts, ``base_failed``, ``distance`` squared and ``kept``.
+
+    Kept columns may have any names; see ``common.shielded`` for those of results.
+    """
+    own = (id_col, lang_col, source_col, text_col)
+    docs, keep, back = shielded(docs, keep, own, (*COUNTS, "base_failed", "distance", "kept"))
     columns = tuple(dict.fromkeys((id_col, lang_col, source_col, *keep)))
     rows = staged(with_statistics(docs, columns, text_col), "quality-statistics")
     rows, few = _grouped(rows, lang_col, source_col, min_rows)
@@ -282,7 +287,7 @@ def judge(
     fitted = F.broadcast(fitted) if few else fitted
     judged = rows.join(fitted, "group", "left").withColumn("distance", F.when(F.col("n_words") > 0, _distance()))
     fits = F.coalesce(F.col("distance") <= chi2_quantile(cut, _P), F.lit(True))
-    return judged.select(
+    return back(judged.select(
         id_col, *[k for k in keep if k != id_col], *COUNTS, "base_failed", "distance",
         (~F.col("base_failed") & fits).alias("kept"),
-    )
+    ))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import small_batches, text_of
+from docflow.llm.common import shielded, small_batches, text_of
 from docflow.llm.components import connected_components
 from docflow.sources.scratch import staged
 
@@ -177,8 +177,11 @@ def near_duplicates(
     """Each row's id and ``keep``, its ``fingerprint`` as hex digits, and its component.
 
     ``component_id`` is the least id that can be reached over links,
-    ``component_fp`` the least fingerprint, a key that is never null.
+    ``component_fp`` the least fingerprint, a key that is never null. Kept columns may
+    have any names; see ``common.shielded`` for those of results.
     """
+    results = ("fingerprint", "component_id", "component_fp")
+    docs, keep, back = shielded(docs, keep, (id_col, text_col), results)
     rows = staged(with_fingerprints(docs, id_col, text_col, keep, shingle, seed), "fingerprints")
     fps = staged(rows.groupBy("fp").agg(F.min(id_col).alias("_id")), "distinct-fingerprints")
     stars = connected_components(links(fps.select("fp"), max_bits, block))
@@ -187,13 +190,14 @@ def near_duplicates(
     )
     least = placed.groupBy("component_fp").agg(F.min("_id").alias("component_id"))
     of_fp = placed.select("fp", "component_fp").join(least, "component_fp")
-    return rows.join(of_fp, "fp").select(
+    found = rows.join(of_fp, "fp").select(
         id_col,
         *keep,
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
         "component_fp",
     )
+    return back(found)
 
 
 def representatives(found: DataFrame, id_col: str, row: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from docflow.llm import centroids, spelling
+import re
+
+from docflow.llm import centroids, chat, decontaminate, queries, spelling
 
 
 def crc32(text: str) -> str:
@@ -102,5 +104,60 @@ FROM words LEFT JOIN forms USING (word) JOIN way ON way.word = words.word
   AND way.last NOT IN (SELECT word FROM forms)"""
 
 
+def chat_formatting() -> str:
+    """The digests from the turns themselves; the length from what escaping adds."""
+    control = "|".join(re.escape(c) for c in chat.CONTROL)
+    escaped = f"regexp_replace(replace({{}}, '\\', '\\\\'), '({control})', '_\\1', 'g')"
+    frame = len(chat.TURN_START) + len("\n") + len(chat.TURN_END)
+    ordered = "ORDER BY turn NULLS FIRST, role, text"
+    return f"""WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT {queries.CONTROL_CONVERSATION}, i, r, '{queries.CONTROL_TEXT}'
+  FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' {ordered})) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' {ordered}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({frame} + length(replace({escaped.format('role')}, chr(10), '__')) + length({escaped.format('text')}))
+    AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
+def benchmark_decontamination() -> str:
+    """All windows of all items looked up at every place of every document."""
+    window = decontaminate.WINDOW
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), "
+        f"'{spelling.UPPER}', '{spelling.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    )
+    grams = "array_to_string(words[i:i + n - 1], ' ') AS gram"
+    return f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {words} AS words FROM documents),
+items AS (
+  SELECT item, words, least(len(words), {window}) AS n FROM
+    (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {words} AS words FROM benchmark) WHERE len(words) > 0
+),
+wanted AS (
+  SELECT DISTINCT item, n, {grams} FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS i FROM items)
+),
+here AS (
+  SELECT r, i, n, {grams} FROM (
+    SELECT *, unnest(range(1, len(words) - n + 2)) AS i FROM docs CROSS JOIN (SELECT DISTINCT n FROM items))
+),
+met AS (SELECT r, i, n, item FROM here JOIN wanted USING (n, gram)),
+places AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM met) GROUP BY r),
+owners AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM met) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN places USING (r) LEFT JOIN owners USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op12_centroid_clustering": centroid_clustering(), "op13_spelling_variants": spelling_variants()}
+    return {
+        "op5_chat_formatting": chat_formatting(),
+        "op10_benchmark_decontamination": benchmark_decontamination(),
+        "op12_centroid_clustering": centroid_clustering(),
+        "op13_spelling_variants": spelling_variants(),
+    }
