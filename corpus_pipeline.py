@@ -7,6 +7,7 @@ tables go when the next stage is called: its result must be written by then.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import wraps
 
@@ -25,20 +26,29 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
-_scratch: list[str] = []
+# The columns of documents that the operators know; all others are only carried along.
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+# What the last stage called over a folder, in a thread, has staged.
+_scratch: dict[tuple[int, str], list[str]] = {}
 
 
 def stage(function: Stage) -> Stage:
-    """``function``, after the scratch tables of the stage before it have gone."""
+    """``function``, after the scratch tables of the stage before it have gone.
+
+    Further columns of ``docs`` go through it under names that no operator uses, and
+    come back as they were.
+    """
 
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        remove(spark, _scratch)
-        _scratch.clear()
+        chain = (threading.get_ident(), sf_dir)
+        remove(spark, _scratch.pop(chain, []))
+        hidden = {c: f"carried column {i}" for i, c in enumerate(docs.columns) if c not in OWN}
         with recorded() as made:
-            result = function(spark, docs, sf_dir)
-        _scratch.extend(made)
-        return result
+            result = function(spark, docs.withColumnsRenamed(hidden), sf_dir)
+        _scratch[chain] = made
+        return result.withColumnsRenamed({name: c for c, name in hidden.items() if name in result.columns})
 
     return run_stage
 
