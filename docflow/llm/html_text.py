@@ -7,12 +7,16 @@ laid out in page order, are smoothed with a Gaussian kernel and fused by
 multiplication; blocks whose value reaches the deviation of all values are content.
 A path's ratio is shared by all its blocks, so a short paragraph is kept with the
 long ones beside it. The region that holds the content is the deepest sectioning
-element around nearly all of its text; what is in it and is no boilerplate is the
-article, headings included.
+element around nearly all of its text. In it, what is content is kept, and with it
+the headings, lists and other small blocks of a container that holds content; a
+container without any, and one that is mostly links, is not.
 
-Some elements are no content by their meaning and take no part: navigation, forms,
-page headers and footers, asides, scripts, and elements whose class, id or role says
-menu, advert, notice, comments and so on (``HINTS``).
+Elements that are no content by their meaning take no part: navigation, forms, page
+headers and footers, asides, scripts, hidden ones. A class, id or role that says menu,
+advert, notice, comments and so on (``HINTS``) only lowers the value of its blocks and
+keeps them from going along with others; and it counts for nothing on an element that
+holds most of the page's text, or on a single paragraph or heading unless the whole
+name is such a word.
 
 Inline elements and line breaks do not end a block; unclosed paragraphs, list items
 and table cells end where the next starts. Defined cases: a null or empty page has an
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import small_batches
+from docflow.llm.common import shielded, small_batches
 
 # Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,9 +49,13 @@ BLOCK = frozenset(
     "td tfoot th thead tr ul".split()
 )
 BOILERPLATE = frozenset(
-    "head nav aside footer form button select option datalist template svg math canvas object audio video "
+    "head nav aside footer form button select option datalist template svg canvas object audio video "
     "dialog menu fieldset map applet".split()
 )
+# Elements of text rather than of layout.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th caption figcaption summary".split())
+# Elements that hold a piece of a page, not one of its texts.
+CONTAINERS = frozenset("html body article main section div center details figure td th".split())
 SECTIONS = frozenset("html body article main section div center table tbody tr td".split())
 HINTS = frozenset(
     "ad ads adv advert advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies "
@@ -69,6 +77,10 @@ CLOSES = {
 MARKS = re.compile("[.,;:!?、。，！？；…]")
 SMOOTHING = (0.25, 0.5, 0.25)
 REGION_SHARE = 0.9
+# A hinted element with the first share of the page's text is its content, and so is one
+# with the second share if no paragraph or title stands outside all hinted ones.
+HINT_SHARES = (0.8, 0.5)
+HINT_FACTOR = 0.1
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)(?:>|\Z)")
@@ -83,34 +95,38 @@ class Block:
     elements: tuple[int, ...]
     text: str
     linked: int  # characters inside links
+    hinted: tuple[int, ...]  # the elements around it whose names say boilerplate
 
 
-def _boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
+def _boilerplate(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element is none of the page's content, and whether its names hint at that."""
     if tag in BOILERPLATE or tag == "header" and not inside_article:
-        return True
+        return True, False
     if tag in ("html", "body", "article", "main") or not attributes:
-        return False
+        return False, False
     if re.search(r"(?:^|\s)hidden(?=[\s=/]|$)", attributes, re.I):
-        return True
+        return True, False
+    hinted = False
     for m in _NAMED.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "style":
             if _HIDDEN.search(value):
-                return True
+                return True, False
         elif name == "aria-hidden":
             if value.lower() == "true":
-                return True
+                return True, False
+        elif tag in TEXTUAL:
+            hinted |= bool({w.lower() for w in value.split()} & HINTS)
         else:
             words = {w.lower() for w in _PARTS.findall(value)}
-            if words & HINTS or "header" in words and not inside_article:
-                return True
-    return False
+            hinted |= bool(words & HINTS) or "header" in words and not inside_article
+    return False, hinted
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks that are no boilerplate by meaning, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # (tag, boilerplate, number)
+    stack: list[tuple[str, bool, int, bool]] = []  # (tag, boilerplate, number, hinted)
     made, articles, dropping, links = 0, 0, 0, 0
     texts: list[str] = []
     linked = 0
@@ -121,14 +137,15 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(entities.unescape("".join(texts)).split())
             if text:
                 live = [e for e in stack if e[0] in BLOCK]
-                out.append(Block(tuple(e[0] for e in live), tuple(e[2] for e in live), text, linked))
+                hinted = tuple(e[2] for e in stack if e[3])
+                out.append(Block(tuple(e[0] for e in live), tuple(e[2] for e in live), text, linked, hinted))
             texts.clear()
         linked = 0
 
     def pop_to(size: int) -> None:
         nonlocal articles, dropping
         while len(stack) > size:
-            tag, dropped, _ = stack.pop()
+            tag, dropped, _, _ = stack.pop()
             articles -= tag in ("article", "main")
             dropping -= dropped
 
@@ -199,40 +216,64 @@ def blocks_of(page: str) -> list[Block]:
                     pop_to(opened)
         if tag in VOID:
             continue
-        dropped = _boilerplate(tag, attributes, articles > 0)
-        if tag in BLOCK or dropped:
+        dropped, hinted = _boilerplate(tag, attributes, articles > 0)
+        if tag in BLOCK or dropped or hinted:
             if attributes.endswith("/") and tag not in BLOCK:
                 continue
             made += 1
-            stack.append((tag, dropped, made))
+            stack.append((tag, dropped, made, hinted))
             articles += tag in ("article", "main")
             dropping += dropped
     flush()
     return out
 
 
-def scores(blocks: list[Block]) -> np.ndarray:
-    """Each block's fused value: its path's smoothed text ratio times its smoothed punctuation ratio."""
-    sums: dict[tuple[str, ...], list[float]] = {}
+def hinted(blocks: list[Block]) -> np.ndarray:
+    """Whether each block lies in an element whose names say boilerplate and that is not most of the page."""
+    total = sum(len(b.text) for b in blocks)
+    other = any(not b.hinted and b.path[-1:] and b.path[-1] in ("p", "h1") for b in blocks)
+    share = HINT_SHARES[0] if other else HINT_SHARES[1]
+    held: dict[int, int] = {}
     for b in blocks:
-        held = sums.setdefault(b.path, [0.0, 0.0, 0.0])
+        for e in b.hinted:
+            held[e] = held.get(e, 0) + len(b.text)
+    return np.array([any(held[e] < share * total for e in b.hinted) for b in blocks], bool)
+
+
+def scores(blocks: list[Block], lowered: np.ndarray) -> np.ndarray:
+    """Each block's fused value: its path's smoothed text ratio times its smoothed punctuation ratio.
+
+    Hinted blocks have paths of their own, whose ratios are lowered before the smoothing.
+    """
+    keys = [(b.path, bool(low)) for b, low in zip(blocks, lowered)]
+    sums: dict[tuple, list[float]] = {}
+    for b, key in zip(blocks, keys):
+        held = sums.setdefault(key, [0.0, 0.0, 0.0])
         held[0] += len(b.text) - b.linked
         held[1] += len(MARKS.findall(b.text))
         held[2] += 1
-    ratios = np.array([[sums[b.path][0] / sums[b.path][2], sums[b.path][1] / sums[b.path][2]] for b in blocks])
+    ratios = np.array([[sums[k][0] / sums[k][2], sums[k][1] / sums[k][2]] for k in keys])
+    ratios[lowered] *= HINT_FACTOR
     padded = np.pad(np.maximum(ratios, 0), ((1, 1), (0, 0)), mode="edge")
     n = len(blocks)
     smooth = sum(w * padded[i : i + n] for i, w in enumerate(SMOOTHING))
     return smooth[:, 0] * (1 + smooth[:, 1])
 
 
+def _container(block: Block) -> tuple[int, bool]:
+    """The innermost element around a block that is a container, and whether an article or main is around it."""
+    inner = next((e for tag, e in zip(block.path[::-1], block.elements[::-1]) if tag in CONTAINERS), 0)
+    return inner, "article" in block.path or "main" in block.path
+
+
 def article(page: str) -> list[str]:
     """The texts of the article's blocks, in page order."""
     blocks = blocks_of(page)
     if not blocks:
         return []
-    value = scores(blocks)
-    content = value >= min(value.std(), value.max())
+    lowered = hinted(blocks)
+    value = scores(blocks, lowered)
+    content = (value >= min(value.std(), value.max())) & ~lowered
     mass = np.array([len(b.text) for b in blocks]) * content
     region = np.ones(len(blocks), bool)
     depth = 0
@@ -256,9 +297,13 @@ def article(page: str) -> list[str]:
             break
         region = inside
         depth += 1
+    # Small blocks go along with the content of their container; a piece of an article
+    # that holds no content by itself does too.
+    holders = {_container(b)[0] for b, here, chosen in zip(blocks, region, content) if here and chosen}
     kept = []
-    for b, here, chosen in zip(blocks, region, content):
-        if here and (chosen or 2 * b.linked <= len(b.text)):
+    for b, here, chosen, low in zip(blocks, region, content, lowered):
+        inner, marked = _container(b)
+        if here and not low and (chosen or (inner in holders or marked) and 2 * b.linked <= len(b.text)):
             kept.append(b.text)
     return kept
 
@@ -268,8 +313,12 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """``keep``, the main ``text`` and its length ``n_chars``, one row per page."""
+    """``keep``, the main ``text`` and its length ``n_chars``, one row per page.
+
+    Kept columns may have any names; see ``common.shielded`` for those of results.
+    """
     small_batches(pages.sparkSession)
+    pages, keep, back = shielded(pages, keep, (html_col,), ("text", "n_chars"))
     picked = pages.select(*keep, F.col(html_col).cast("string").alias("_html"))
     schema = T.StructType(
         picked.schema.fields[:-1] + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
@@ -282,4 +331,4 @@ def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
             columns += [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return picked.mapInArrow(run, schema)
+    return back(picked.mapInArrow(run, schema))

@@ -11,7 +11,7 @@ after. Contexts and runs form a graph over the whole corpus, scored in rounds:
   pattern of that kind;
 * a run no seed lies in, of a kind's shape, gets the noisy-or of the precisions of
   the patterns it stands in; at ``min_weight`` it is an identifier, and counts
-  towards contexts in the next round.
+  towards contexts in the next round. Rounds go on until one finds nothing new.
 
 All of it is DataFrame work: regular expressions and array functions per text, then
 aggregations over distinct (context, run) pairs, which combine before they move. The
@@ -21,8 +21,7 @@ Positions are code points, ends exclusive. Base spans are those of the leftmost
 non-overlapping matches of each kind; what fails its check is dropped, without a
 second try. Defined cases: a null text is empty; a text without spans has empty
 strings and zeros; rows with equal ids are rows of their own; an empty table gives no
-rows; further columns are ignored. A run of more than ``MAX_RUN`` characters is no
-identifier; context words count with their first or last ``MAX_WORD`` characters.
+rows; further columns are ignored. Runs and context words may be of any length.
 """
 
 from __future__ import annotations
@@ -34,9 +33,6 @@ from docflow.llm.common import text_of
 from docflow.sources.scratch import staged
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_RUN = 64
-MAX_WORD = 32
-ROUNDS = 3
 MIN_SUPPORT = 5.0
 MIN_PRECISION = 0.9
 MIN_WEIGHT = 0.9
@@ -66,6 +62,7 @@ _CHECKS = {
 }
 _W = r"[^\x20\x09-\x0D]"
 _B = r"[\x20\x09-\x0D]"
+_BLANKS = r"\u0020\u0009\u000A\u000B\u000C\u000D"
 _RUN = rf"(?<!{_W}){_W}*[0-9@]{_W}*+(?:\x20{_W}*[0-9@]{_W}*+)*+"
 _TRIMMED = ".,;:!?\"'*#|&%$"
 # Shapes of identifiers that the fixed patterns may have missed.
@@ -118,19 +115,16 @@ def with_base(docs: DataFrame, text: Column) -> DataFrame:
 def with_runs(df: DataFrame) -> DataFrame:
     """``df`` with ``runs``: place, text, seed kind, shape and contexts of every run."""
     df = _matched(df, "_spans", _RUN, "[0-9@]")
-    last = rf"({_W}{{1,{MAX_WORD}}}){_B}*\\z"
-    last2 = rf"({_W}{{1,{MAX_WORD}}}){_B}+{_W}{{1,{MAX_WORD}}}{_B}*\\z"
-    first = rf"\\A{_B}*({_W}{{1,{MAX_WORD}}})"
-    first2 = rf"\\A{_B}*{_W}{{1,{MAX_WORD}}}{_B}+({_W}{{1,{MAX_WORD}}})"
-    before, after = f"right(_pieces[i], {3 * MAX_WORD})", f"left(_pieces[i + 1], {3 * MAX_WORD})"
-    escaped = [p.replace("\\x", "\\\\x") for p in (last, last2, first, first2)]
-
-    def word(piece: str, pattern: str) -> str:
-        return f"lower(regexp_extract({piece}, '{pattern}', 1))"
-
-    l1, l2 = word(before, escaped[0]), word(before, escaped[1])
-    r1, r2 = word(after, escaped[2]), word(after, escaped[3])
-    contexts = f"array(concat_ws(' ', {l2}, {l1}, '_'), concat_ws(' ', {l1}, '_', {r1}), concat_ws(' ', '_', {r1}, {r2}))"
+    # The last two words before a run, the first two after it, whole: a piece between
+    # runs with every kind of blank made the same, cut at blanks from its end or start.
+    df = df.withColumn("_pieces", F.expr(f"transform(_pieces, p -> trim(lower(translate(p, '{_BLANKS}', '      '))))"))
+    before, after = "_pieces[i]", "_pieces[i + 1]"
+    l1 = f"substring_index({before}, ' ', -1)"
+    l2 = f"substring_index(rtrim(left({before}, length({before}) - length({l1}))), ' ', -1)"
+    r1 = f"substring_index({after}, ' ', 1)"
+    r2 = f"substring_index(ltrim(substr({after}, length({r1}) + 1)), ' ', 1)"
+    pairs = (f"concat_ws(' ', {l2}, {l1}, '_')", f"concat_ws(' ', {l1}, '_', {r1})", f"concat_ws(' ', '_', {r1}, {r2})")
+    contexts = f"array({', '.join(f'xxhash64({p})' for p in pairs)})"
     trimmed = _TRIMMED.replace("'", "\\'")
     place = f"""transform(_spans, (x, i) -> named_struct(
         'start', x.start + length(x.text) - length(trim(leading '{trimmed}' from x.text)),
@@ -138,7 +132,7 @@ def with_runs(df: DataFrame) -> DataFrame:
         'contexts', {contexts}))"""
     df = df.withColumn("_runs", F.expr(place))
     shape = "case " + " ".join(f"when lower(x.text) rlike '{p}' then {i}" for i, p in enumerate(_SHAPES.values())) + " end"
-    run = f"""transform(filter(_runs, x -> length(x.text) between 1 and {MAX_RUN}), x -> named_struct(
+    run = f"""transform(filter(_runs, x -> length(x.text) > 0), x -> named_struct(
         'start', x.start, 'end', x.start + length(x.text), 'text', lower(x.text), 'shape', {shape},
         'seeds', array_distinct(transform(
             filter(base, b -> b.start < x.start + length(x.text) and b.end > x.start), b -> b.kind)),
@@ -148,17 +142,18 @@ def with_runs(df: DataFrame) -> DataFrame:
 
 def bootstrap(
     graph: DataFrame,
-    rounds: int = ROUNDS,
     min_support: float = MIN_SUPPORT,
     min_precision: float = MIN_PRECISION,
     min_weight: float = MIN_WEIGHT,
 ) -> DataFrame:
     """``(text, kind, weight)`` of the runs found in the graph ``(context, text, kind, seed)``.
 
-    ``kind`` is null for runs of no kind: those only lower a context's precision.
+    ``kind`` is null for runs of no kind: those only lower a context's precision. What
+    is found once stays found, as its weight only helps the contexts it stands in.
     """
     found: DataFrame | None = None
-    for _ in range(rounds):
+    before, now = -1, 0
+    while now > before:
         if found is None:
             weighted = graph.withColumn("weight", F.when(F.col("seed"), 1.0).otherwise(0.0))
         else:
@@ -185,6 +180,7 @@ def bootstrap(
             .filter(F.col("weight") >= min_weight),
             "pii-found",
         )
+        before, now = now, found.count()
     return found
 
 

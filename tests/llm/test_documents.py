@@ -72,6 +72,32 @@ def test_pii_base_matches_plain_patterns(spark):
         assert [tuple(s) for s in r["base"]] == base_spans(r["text"] or ""), r["text"]
 
 
+def test_pii_runs_and_context_words_of_any_length(spark):
+    """A pattern of long words, met with five seeds, finds an address of 300 characters."""
+    left, right = "w" * 90, "v" * 120
+    rows = [(i, f"{left}a {left} write{left} user{i}@host{i}.org {right} {right}b") for i in range(8)]
+    # Addresses without a dot have the shape, but no seed; another long word makes another context.
+    rows += [(100, f"{left}a {left} write{left} {'x' * 290}@intranet {right} {right}b")]
+    rows += [(200 + i, f"{left}c {left} writes{left} other{i}@ {right}c {right}b") for i in range(9)]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(frame(spark, rows)).collect()}
+    assert [s["end"] - s["start"] for s in got[100]] == [299]
+    assert all(len(got[i]) == 1 for i in range(8)) and all(not got[200 + i] for i in range(9))
+
+
+def test_pii_rounds_go_on_while_something_is_found(spark):
+    """A chain of contexts, each learnt from what the one before it found: four rounds, and one that finds nothing."""
+    sizes = [2070, 460, 100, 20, 4]
+    names = [[f"seed{i}@host.org" for i in range(sizes[0])]]
+    names += [[f"l{link}x{i}@local" for i in range(size)] for link, size in enumerate(sizes[1:])]
+    texts = [
+        f"go{link} see{link} {name} then{link} stop{link}"
+        for link in range(len(sizes) - 1)
+        for name in names[link] + names[link + 1]
+    ]
+    got = pii.find_pii(frame(spark, enumerate(texts))).collect()
+    assert len(got) == len(texts) and all(len(r["spans"]) == 1 for r in got)
+
+
 def test_pii_query_on_the_tables(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] or "" for r in rows_of(sf_dir, "documents")}
     got = queries.op1_pii(spark, sf_dir).collect()
