@@ -86,16 +86,17 @@ def test_pii_runs_and_context_words_of_any_length(spark):
 
 def test_pii_rounds_go_on_while_something_is_found(spark):
     """A chain of contexts, each learnt from what the one before it found: four rounds, and one that finds nothing."""
-    sizes = [2070, 460, 100, 20, 4]
+    sizes = [2100, 460, 100, 20, 4]
     names = [[f"seed{i}@host.org" for i in range(sizes[0])]]
     names += [[f"l{link}x{i}@local" for i in range(size)] for link, size in enumerate(sizes[1:])]
     texts = [
         f"go{link} see{link} {name} then{link} stop{link}"
-        for link in range(len(sizes) - 1)
-        for name in names[link] + names[link + 1]
+        for place, link in enumerate("abcd")
+        for name in names[place] + names[place + 1]
     ]
     got = pii.find_pii(frame(spark, enumerate(texts))).collect()
-    assert len(got) == len(texts) and all(len(r["spans"]) == 1 for r in got)
+    missed = [texts[r["doc_id"]] for r in got if len(r["spans"]) != 1]
+    assert len(got) == len(texts) and not missed, (len(missed), missed[:3])
 
 
 def test_pii_query_on_the_tables(spark, sf_dir):
