@@ -47,7 +47,6 @@ MIN_ROWS = 200
 SUPPORT = 0.75
 CUT = 0.9999
 REWEIGHT_CUT = 0.975
-STEPS = 8
 # Groups of languages and sources beyond which rows are joined to them by a shuffle.
 BROADCAST_GROUPS = 100_000
 # Standard deviations below which no direction of a statistic is trusted.
@@ -185,12 +184,13 @@ def _estimates(moments: DataFrame, share: float, keys: dict[str, str]) -> DataFr
     return moments.mapInPandas(run, schema)
 
 
-def _starts(rows: DataFrame) -> DataFrame:
+def _starts(rows: DataFrame, few: bool) -> DataFrame:
     """Two first estimates of each group: ``start`` 0 from medians, 1 from means."""
+    small = F.broadcast if few else lambda found: found
     medians = rows.groupBy("group").agg(F.array(*[F.percentile_approx(v, 0.5, 10000) for v in VECTOR]).alias("mean"))
     off = [F.abs(F.col(v) - F.col("mean")[i]) for i, v in enumerate(VECTOR)]
     spread = (
-        rows.join(medians, "group").groupBy("group").agg(F.array(*[F.percentile_approx(x, 0.5, 10000) for x in off]).alias("mad"))
+        rows.join(small(medians), "group").groupBy("group").agg(F.array(*[F.percentile_approx(x, 0.5, 10000) for x in off]).alias("mad"))
     )
     zero = F.lit(0.0)
     inverse = F.array(
@@ -207,12 +207,19 @@ def _starts(rows: DataFrame) -> DataFrame:
     return robust.unionByName(_estimates(plain, 1.0, {"group": "string", "start": "int"}))
 
 
-def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """``(group, mean, inverse, logdet)`` of the rows ``(group, v0..)``, reweighted once."""
-    now = staged(_starts(rows), "mcd-starts")
-    before: list | None = None
-    for _ in range(steps):
-        near = rows.join(now, "group").select(
+def mcd(rows: DataFrame, support: float = SUPPORT, few: bool = False) -> DataFrame:
+    """``(group, mean, inverse, logdet)`` of the rows ``(group, v0..)``, reweighted once.
+
+    Each group's starts take steps until their own determinant rests: one that no longer
+    falls is left as it is, whatever the other groups do. If the groups are ``few``, what
+    there is per group goes to every task, and no row is dealt by its group.
+    """
+    small = F.broadcast if few else lambda found: found
+    now = staged(_starts(rows, few).withColumn("rests", F.lit(False)), "mcd-starts")
+    first = True
+    while not now.filter("not rests").isEmpty():
+        moving = now.filter("not rests")
+        near = rows.join(small(moving), "group").select(
             "group", "start", *VECTOR, F.floor(32 * F.log2(_distance() + 1e-9)).cast("int").alias("bin")
         )
         bins = near.groupBy("group", "start", "bin").agg(F.count(F.lit(1)).alias("n"))
@@ -223,17 +230,21 @@ def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFr
             "sum(n) over (partition by group, start) as total",
         )
         cut = bins.filter(F.col("below") >= F.ceil(support * F.col("total"))).groupBy("group", "start").agg(F.min("bin").alias("cut"))
-        chosen = near.join(cut, ["group", "start"]).filter("bin <= cut")
+        chosen = near.join(small(cut), ["group", "start"]).filter("bin <= cut")
         moments = chosen.groupBy("group", "start").agg(*_moments())
-        now = staged(_estimates(moments, support, {"group": "string", "start": "int"}), "mcd-step")
-        # One number per start: the sum of the groups' determinants falls until it rests.
-        after = [r[1] for r in now.groupBy("start").agg(F.sum("logdet")).orderBy("start").collect()]
-        if before is not None and all(abs(a - b) < 1e-6 * (1 + abs(b)) for a, b in zip(after, before)):
-            break
-        before = after
+        made = _estimates(moments, support, {"group": "string", "start": "int"})
+        estimate = ("mean", "inverse", "logdet")
+        was = moving.select("group", "start", F.struct(*estimate).alias("was"))
+        falls = F.col("logdet") < F.col("was.logdet") - 1e-6 * (1 + F.abs("was.logdet"))
+        # The starts are no estimates yet: what the first step makes is taken as it is.
+        falls = F.lit(True) if first else falls
+        stepped = made.join(was, ["group", "start"]).select(
+            "group", "start", *[F.when(falls, F.col(c)).otherwise(F.col(f"was.{c}")).alias(c) for c in estimate], (~falls).alias("rests")
+        )
+        now, first = staged(now.filter("rests").unionByName(stepped), "mcd-step"), False
     best = now.groupBy("group").agg(F.min(F.struct("logdet", "start", "mean", "inverse")).alias("best"))
     best = best.select("group", "best.mean", "best.inverse")
-    close = rows.join(best, "group").filter(_distance() <= chi2_quantile(REWEIGHT_CUT, _P))
+    close = rows.join(small(best), "group").filter(_distance() <= chi2_quantile(REWEIGHT_CUT, _P))
     return staged(_estimates(close.groupBy("group").agg(*_moments()), REWEIGHT_CUT, {"group": "string"}), "mcd")
 
 
@@ -283,7 +294,7 @@ def judge(
     columns = tuple(dict.fromkeys((id_col, lang_col, source_col, *keep)))
     rows = staged(with_statistics(docs, columns, text_col), "quality-statistics")
     rows, few = _grouped(rows, lang_col, source_col, min_rows)
-    fitted = mcd(staged(_fitting(rows), "quality-vectors"), support)
+    fitted = mcd(staged(_fitting(rows), "quality-vectors"), support, few)
     fitted = F.broadcast(fitted) if few else fitted
     judged = rows.join(fitted, "group", "left").withColumn("distance", F.when(F.col("n_words") > 0, _distance()))
     fits = F.coalesce(F.col("distance") <= chi2_quantile(cut, _P), F.lit(True))
