@@ -6,14 +6,17 @@ are dealt at random over groups of about ``GROUP_TOKENS`` tokens, and each group
 packed by itself: hundreds of sequences, against one that may stay part empty.
 
 Within a group the search fills one sequence at a time around the largest piece
-left. It enumerates the undominated fillings of the room beside it, fullest first
+left. It enumerates all undominated fillings of the room beside it, fullest first
 (a filling is dominated if some of its pieces can be exchanged for one left out
-that is as long or longer and still fits), and goes on with what remains. A branch
-ends when the room it has left empty is more than the incumbent's number of
-sequences less one can spare. The first incumbent is the best-fit decreasing
-solution; a solution that meets the bound ``ceil(tokens / length)`` ends the search,
-and so does ``MAX_NODES``: then the incumbent stands. Equal lengths are exchangeable,
-so the search is over counts of lengths and finds the same for any order of rows.
+that is longer, or as long as several, and still fits), and goes on with what
+remains. A branch ends when the room it has left empty is more than the incumbent's
+number of sequences less one can spare, or when it comes to pieces that another
+branch failed with. The first incumbent is the best-fit decreasing solution; the
+search ends once a solution meets the lower bound or nothing is left to try. Such a
+search can take exponential time, so ``pack`` looks at ``max_work`` fillings a group
+at most and then lets the incumbent stand; None takes that limit away. Equal lengths
+are exchangeable, so the search is over counts of lengths and finds the same for any
+order of rows.
 
 Token ids are those of the ``tokenizers`` library with the given vocabulary file;
 the same vocabulary is encoded by ``tiktoken``, several times faster, and by
@@ -26,6 +29,7 @@ documents of their own; an empty table gives no rows; further columns are ignore
 from __future__ import annotations
 
 import base64
+import random
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
@@ -46,9 +50,11 @@ LENGTH = 2048
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
 GROUP_TOKENS = 1 << 24
-MAX_FILLINGS = 12
-MAX_STEPS = 100
-MAX_NODES = 12_000
+MAX_PARTITIONS = 1 << 14
+MAX_WORK = 50_000
+
+# What a search gets where no filling is left.
+END = (-1,)
 
 Encoder = Callable[[str], list[int]]
 
@@ -154,132 +160,147 @@ def best_fit(sizes: list[int], counts: dict[int, int], capacity: int) -> list[li
     return bins
 
 
-def fillings(sizes: list[int], counts: dict[int, int], room: int, limit: int = MAX_FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated multisets of lengths that fit into ``room``, fullest first.
+def lower_bound(lengths: list[int], capacity: int) -> int:
+    """Bins that any packing needs.
 
-    ``sizes`` falls. A filling that leaves nothing empty ends the enumeration: no
-    other can be fuller, and all that it does not dominate come later in the search.
+    No two pieces above half share a bin, and beside one of them a bin has no room
+    for pieces of a threshold or more if it is that full; the best threshold counts.
     """
-    found: list[tuple[int, ...]] = []
-    chosen: list[int] = []
-    steps = 0
-    ascending = sizes[::-1]
-
-    def dominated(picked: list[int], left: int) -> bool:
-        """One of the picked, or two together, could be a longer one left out."""
-        taken: dict[int, int] = {}
-        for x in picked:
-            taken[x] = taken.get(x, 0) + 1
-        sums = {*picked, *(a + b for i, a in enumerate(picked) for b in picked[i + 1 :])}
-        singles = set(picked)
-        for s in sums:
-            at = bisect_right(ascending, s + left) - 1
-            while at >= 0 and ascending[at] >= s:
-                x = ascending[at]
-                if counts[x] > taken.get(x, 0) and (x > s or s not in singles):
-                    return True
-                at -= 1
-        return False
-
-    def search(at: int, left: int) -> bool:
-        """True once nothing fuller can be found."""
-        nonlocal steps
-        if chosen and left <= chosen[-1] and counts.get(left, 0) > chosen.count(left):
-            found.append((*chosen, left))  # it fits to the last token
-            return True
-        fits = False
-        i = at
-        n = len(sizes)
-        if i < n and sizes[i] > left:
-            i = n - bisect_right(ascending, left)
-        while i < n:
+    a = np.sort(np.asarray(lengths, np.int64))
+    sums = np.concatenate([[0], np.cumsum(a)])
+    half = np.searchsorted(a, capacity // 2, "right")
+    threshold = np.unique(np.concatenate([[0], a[:half]]))
+    low = np.searchsorted(a, threshold, "left")
+    high = np.searchsorted(a, capacity - threshold, "right")
+    beside = (high - half) * capacity - (sums[high] - sums[half])
+    more = -(-(sums[half] - sums[low] - beside) // capacity)
+    return int(len(a) - half + np.maximum(more, 0).max())
+
+
+def _spread(bits: int, steps: int) -> int:
+    """``bits`` together with each of them moved up by 1 to ``steps``."""
+    done = 0
+    while done < steps:
+        by = min(done + 1, steps - done)
+        bits |= bits << by
+        done += by
+    return bits
+
+
+def fillings(counts: dict[int, int], room: int, spare: int) -> Iterator[tuple[int, ...] | None]:
+    """Every undominated multiset of ``counts`` that leaves at most ``spare`` of ``room``, fullest first.
+
+    Lazily, with a None for each dominated one on the way. Sums that the shorter
+    lengths can reach are bits of a number, so no branch ends without a filling.
+    """
+    if counts.get(room, 0):
+        yield (room,)  # dominates every other
+        return
+    sizes = sorted((x for x, c in counts.items() if c and x <= room), reverse=True)
+    whole = (1 << room + 1) - 1
+    reach = [1] * (len(sizes) + 1)
+    for i in range(len(sizes) - 1, -1, -1):
+        bits = reach[i + 1]
+        few, part = min(counts[sizes[i]], room // sizes[i]), 1
+        while few and bits != whole:
+            k = min(part, few)
+            bits = (bits | bits << k * sizes[i]) & whole
+            few, part = few - k, 2 * part
+        reach[i] = bits
+
+    def summing(i: int, target: int) -> Iterator[tuple[int, ...]]:
+        if not target:
+            yield ()
+            return
+        while reach[i] >> target & 1:
             size = sizes[i]
-            if counts[size] > chosen.count(size):
-                fits = True
-                steps += 1
-                chosen.append(size)
-                full = search(i, left - size)
-                chosen.pop()
-                if full or steps > MAX_STEPS:
-                    return True
+            for k in range(min(counts[size], target // size), 0, -1):
+                if reach[i + 1] >> target - k * size & 1:
+                    for tail in summing(i + 1, target - k * size):
+                        yield (size,) * k + tail
             i += 1
-        if not fits and (left == 0 or not dominated(chosen, left)):
-            found.append(tuple(chosen))
-            return left == 0
-        return False
-
-    # A single length that fits exactly dominates every other filling.
-    if counts.get(room, 0):
-        return [(room,)]
-    search(0, room)
-    if not found:
-        found.append(_greedy(sizes, counts, room))
-    return sorted(set(found), key=lambda f: (-sum(f), len(f), tuple(-x for x in f)))[:limit]
-
 
-def _greedy(sizes: list[int], counts: dict[int, int], room: int) -> tuple[int, ...]:
-    picked: list[int] = []
-    for size in sizes:
-        while size <= room and counts[size] > picked.count(size):
-            picked.append(size)
-            room -= size
-    return tuple(picked)
+    present = sum(1 << x for x in sizes)
 
-
-def complete_bins(lengths: list[int], capacity: int, max_nodes: int = MAX_NODES) -> list[list[int]]:
-    """As few bins as the search finds for the lengths."""
-    counts: dict[int, int] = {}
+    def dominated(picked: tuple[int, ...], waste: int) -> bool:
+        """Some of the picked, or none, could be one left out that is longer, or as long as several."""
+        one, several, out = 0, 0, present
+        for x in picked:
+            several |= (several | one) << x
+            one |= 1 << x
+        for x in set(picked):
+            if counts[x] == picked.count(x):
+                out ^= 1 << x
+        longer = _spread(one << 1, waste - 1) if waste else 0
+        return bool(out & (_spread(several | 1, waste) | longer))
+
+    for waste in range(min(spare, room) + 1):
+        if reach[0] >> room - waste & 1:
+            for found in summing(0, room - waste):
+                yield None if dominated(found, waste) else found
+
+
+def _search(lengths: list[int], capacity: int, max_work: int | None) -> tuple[list[list[int]], bool]:
+    """Bins for lengths below ``capacity``, and whether it is proved that fewer cannot do."""
+    left: dict[int, int] = {}
     for n in lengths:
-        counts[n] = counts.get(n, 0) + 1
-    full = [[capacity]] * counts.pop(capacity, 0)
-    sizes = sorted(counts, reverse=True)
-    total = sum(s * c for s, c in counts.items())
-    if not total:
-        return full
-    best = best_fit(sizes, counts, capacity)
-    bound = -(-total // capacity)
-    nodes = 0
+        left[n] = left.get(n, 0) + 1
+    total, bound = sum(lengths), lower_bound(lengths, capacity)
+    best = best_fit(sorted(left, reverse=True), left, capacity)
+    # What is left is known by a sum of random codes; ``dead``: the least waste it failed with.
+    rng = random.Random(0)
+    code = {x: rng.getrandbits(128) for x in left}
+    state, dead, work = sum(code[x] * c for x, c in left.items()), {}, 0
     path: list[list[int]] = []
-    # Each level of the stack: the fillings not yet tried, and the room wasted before it.
-    left = dict(counts)
-    alive = list(sizes)
 
-    def take(items: list[int], sign: int) -> None:
+    def take(items: list[int], n: int) -> None:
+        nonlocal state
         for x in items:
-            left[x] -= sign
-            if sign > 0 and not left[x]:
-                alive.remove(x)
-            elif sign < 0 and left[x] == 1:
-                alive.insert(len(alive) - bisect_right(alive[::-1], x), x)
-
-    def options() -> list[list[int]]:
-        head = alive[0]
-        take([head], 1)
-        found = [[head, *f] for f in fillings(alive, left, capacity - head)]
-        take([head], -1)
-        return found[::-1]
-
-    stack: list[tuple[list[list[int]], int]] = [(options(), 0)]
-    while stack and len(best) > bound and nodes < max_nodes:
-        tries, waste = stack[-1]
+            left[x] -= n
+            state -= n * code[x]
+
+    def around(waste: int) -> tuple[int, Iterator[tuple[int, ...] | None], int]:
+        head = max(x for x, c in left.items() if c)
+        beside = left | {head: left[head] - 1}
+        return head, fillings(beside, capacity - head, (len(best) - 1) * capacity - total - waste), waste
+
+    stack = [around(0)]
+    while stack and len(best) > bound:
         if len(path) == len(stack):
             take(path.pop(), -1)
-        if not tries:
-            stack.pop()
+        work += 1
+        if max_work is not None and work > max_work:
+            return best, False
+        head, tries, waste = stack[-1]
+        filling = next(tries, END)
+        if filling is None:
             continue
-        filling = tries.pop()
-        spare = (len(best) - 1) * capacity - total
-        waste += capacity - sum(filling)
-        if waste > spare:
+        items = [head, *filling]
+        after = waste + capacity - sum(items)
+        if filling is END or after > (len(best) - 1) * capacity - total:
+            dead[state] = min(waste, dead.get(state, waste))
+            stack.pop()
             continue
-        nodes += 1
-        take(filling, 1)
-        path.append(filling)
-        if not alive:
+        take(items, 1)
+        path.append(items)
+        if not any(left.values()):
             best = [list(b) for b in path]
-            continue
-        stack.append((options(), waste))
-    return full + best
+        elif after < dead.get(state, after + 1):
+            stack.append(around(after))
+    return best, True
+
+
+def complete_bins(lengths: list[int], capacity: int, max_work: int | None = MAX_WORK) -> tuple[list[list[int]], bool]:
+    """As few bins as the search finds, and whether they are proved to be the fewest.
+
+    ``max_work`` bounds the fillings looked at; without it (None) the search is complete.
+    """
+    full = [[capacity] for n in lengths if n == capacity]
+    rest = [n for n in lengths if n < capacity]
+    if not rest:
+        return full, True
+    best, proved = _search(rest, capacity, max_work)
+    return full + best, proved
 
 
 def pack(
@@ -290,6 +311,7 @@ def pack(
     vocabulary: str = VOCABULARY,
     end_id: int = END_ID,
     group_tokens: int = GROUP_TOKENS,
+    max_work: int | None = MAX_WORK,
 ) -> DataFrame:
     """Per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``."""
     pieces = staged(
@@ -298,8 +320,10 @@ def pack(
     )
     tokens = pieces.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     groups = max(1, round(tokens / group_tokens))
-    # A group is a partition: random, so even, and the same on every attempt.
+    # Random groups, so even ones, and the same on every attempt. A given number of
+    # partitions is not merged by bytes: a search costs time, not room.
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("_at"), F.lit(groups)).cast("int"))
+    dealt = dealt.repartition(min(2 * groups, MAX_PARTITIONS), "_group")
     schema = T.StructType(
         [f for f in pieces.schema.fields if f.name != "_at"]
         + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
@@ -314,7 +338,8 @@ def pack(
         next_row = dict(zip((-values).tolist(), starts.tolist()))
         sequence = np.empty(len(sizes), np.int64)
         offset = np.empty(len(sizes), np.int64)
-        for b, items in enumerate(complete_bins(sizes.tolist(), length)):
+        bins, _ = complete_bins(sizes.tolist(), length, max_work)
+        for b, items in enumerate(bins):
             at = 0
             for size in items:
                 row = next_row[size]
