@@ -8,11 +8,18 @@ theirs differs by at most one bit. Fingerprints that share a signature are
 compared in full. The segments follow from the distance: the fewest of which one
 must differ by at most one bit.
 
+A signature of 20 or 21 bits is shared by chance too, by the more the larger the
+table. From ``wide_from`` fingerprints on, each signature is taken together with one
+of five parts of the bits outside its segment: linked fingerprints differ in four of
+those at most, so one part is equal and no link is lost, and a signature has 8 or 9
+bits more, for five times as many. Both forms give the same components.
+
 Nothing pairs all members of a signature. A task walks its members from one to
 the next within reach and writes the links of a spanning forest, which keeps every
 component. Members are distinct fingerprints, so thousands of copies are one
 member. A signature with more than ``block`` members is walked in pairs of blocks
-of that size, so a task holds two blocks at most.
+of that size, so a task holds two blocks at most. Which ones have is known from
+counts of the segments' values, three to a fingerprint, before signatures are made.
 
 Defined cases: a null text is empty; a text without words has fingerprint zero and
 is linked like any other; a text of fewer words than a shingle is one shingle; rows
@@ -33,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.llm.common import shielded, small_batches, text_of
+from docflow.llm.common import shielded, small_batches, tasks, text_of
 from docflow.llm.components import connected_components
 from docflow.sources.scratch import staged
 
@@ -41,6 +48,7 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
 BLOCK = 8192
+WIDE_FROM = 1 << 24
 
 
 def fingerprint(text: str, shingle: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -97,16 +105,34 @@ def segments(max_bits: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def signatures(fp: Column, max_bits: int = MAX_BITS) -> Column:
-    """One signature per bit: its segment without that bit, and which bit it was."""
-    keys = []
+def pieces(segment: tuple[int, int], max_bits: int) -> list[int]:
+    """Masks of ``max_bits + 1`` parts of the bits outside a segment: of two linked fingerprints one part is equal."""
+    shift, width = segment
+    bits = [i for i in range(64) if not shift <= i < shift + width]
+    n = max_bits + 1
+    cuts = [len(bits) * i // n for i in range(n + 1)]
+    return [sum(1 << i for i in bits[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def masks(max_bits: int, wide: bool) -> list[tuple[int, list[int]]]:
+    """Per segment, and if ``wide`` per piece beside it: the mask, and those with one bit of the segment deleted."""
+    found = []
     for shift, width in segments(max_bits):
-        value = F.shiftrightunsigned(fp, shift)
-        for bit in range(width):
-            mask = ((1 << width) - 1) & ~(1 << bit)
-            signed = mask - (1 << 64) if mask >= 1 << 63 else mask
-            keys.append(F.struct(F.lit(shift + bit).alias("bit"), value.bitwiseAND(F.lit(signed)).alias("rest")))
-    return F.array(*keys)
+        segment = (1 << width) - 1 << shift
+        for beside in pieces((shift, width), max_bits) if wide else [0]:
+            whole = segment | beside
+            found.append((whole, [whole & ~(1 << shift + bit) for bit in range(width)]))
+    return found
+
+
+def _signed(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")
+
+
+def _masked(rows: DataFrame, found: list[int], name: str) -> DataFrame:
+    """``rows`` once per mask: its number ``name``, and the bits ``rest`` of ``fp`` under it."""
+    each = rows.select("*", F.posexplode(F.array(*map(_signed, found))).alias(name, "_mask"))
+    return each.withColumn("rest", F.col("fp").bitwiseAND(F.col("_mask"))).drop("_mask")
 
 
 def forest(members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -134,23 +160,42 @@ def _members(keyed: DataFrame, by: list[str]) -> DataFrame:
     return keyed.groupBy(*by).agg(F.collect_list("fp").alias("fps")).select("fps").filter(F.size("fps") > 1)
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+def _large(fps: DataFrame, found: list[tuple[int, list[int]]], block: int) -> DataFrame:
+    """``(slot, rest, n)``: signatures that may have more than ``block`` members, ``n`` at most.
+
+    The members of a signature have one of two values under the mask with the bit,
+    so one of these values has over half of ``block``. Only values are counted.
+    """
+    values = _masked(fps, [whole for whole, _ in found], "at").groupBy("at", "rest").agg(F.count(F.lit(1)).alias("n"))
+    heavy = staged(values.filter(F.col("n") > block // 2), "heavy-values")
+    slots = [(at, _signed(mask)) for at, (_, deleted) in enumerate(found) for mask in deleted]
+    all_slots = F.array(
+        *[F.struct(F.lit(at).alias("at"), F.lit(i).alias("slot"), m.alias("mask")) for i, (at, m) in enumerate(slots)]
+    )
+    own = F.explode(F.filter(all_slots, lambda s: s["at"] == F.col("at"))).alias("own")
+    each = heavy.select("rest", "n", own).select(
+        F.col("own.slot").alias("slot"), F.col("rest").bitwiseAND(F.col("own.mask")).alias("rest"), "n"
+    )
+    return each.groupBy("slot", "rest").agg((F.sum("n") + block // 2).alias("n")).filter(F.col("n") > block)
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, wide_from: int = WIDE_FROM) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints ``fp``, enough for every component."""
-    keyed = fps.select("fp", F.explode(signatures(F.col("fp"), max_bits)).alias("key"))
-    keyed = keyed.select("fp", "key.bit", "key.rest")
-    sizes = keyed.groupBy("bit", "rest").agg(F.count(F.lit(1)).alias("n"))
-    large = staged(sizes.filter(F.col("n") > block), "large-signatures")
+    found = masks(max_bits, fps.count() >= wide_from)
+    fps = fps.select("fp").repartition(tasks(fps.sparkSession), "fp")
+    keyed = _masked(fps, [mask for _, deleted in found for mask in deleted], "slot")
+    large = staged(_large(fps, found, block), "large-signatures")
     if large.isEmpty():
-        groups = _members(keyed, ["bit", "rest"])
+        groups = _members(keyed, ["slot", "rest"])
     else:
-        rest = keyed.join(large, ["bit", "rest"], "left_anti")
+        rest = keyed.join(large, ["slot", "rest"], "left_anti")
         blocks = F.ceil(F.col("n") / block).cast("int")
         own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
         # A block meets every block once: the smaller number first.
         meet = lambda o: F.struct(F.least(o, own).alias("x"), F.greatest(o, own).alias("y"))
         pairs = F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), meet)).alias("pair")
-        cut = keyed.join(large, ["bit", "rest"]).select("fp", "bit", "rest", pairs)
-        groups = _members(rest, ["bit", "rest"]).unionByName(_members(cut, ["bit", "rest", "pair"]))
+        cut = keyed.join(large, ["slot", "rest"]).select("fp", "slot", "rest", pairs)
+        groups = _members(rest, ["slot", "rest"]).unionByName(_members(cut, ["slot", "rest", "pair"]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
