@@ -39,6 +39,7 @@ from docflow.llm.common import BLANKS, indexed, shielded, small_batches, text_of
 from docflow.sources.scratch import staged
 
 MIN_WORDS = 50
+SALTS = 64
 
 _WINDOW = pa.struct([("start", pa.int32()), ("size", pa.int32())])
 _HASH = pa.struct([("high", pa.int64()), ("low", pa.int64())])
@@ -147,9 +148,19 @@ def repeated_runs(sequences: DataFrame, longest: int) -> DataFrame:
     # The size tells the round; equal sizes, heads and tails are equal lines.
     found = staged(found, "run-intervals")
     place = F.struct(F.col("id").isNull().alias("no"), "id", "row", "start")
+    # A run may stand in a third of all rows: its places are dealt over salts, and the
+    # first goes to those salts that have some. Runs that stand once go nowhere.
     key = ["size", "head", "tail"]
-    firsts = found.groupBy(*key).agg(F.min(place).alias("first"))
-    return found.join(firsts, key).filter(
+    found = found.withColumn("salt", F.pmod(F.xxhash64("row", "start"), F.lit(SALTS)).cast("int"))
+    firsts = (
+        found.groupBy(*key, "salt")
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+        .groupBy(*key)
+        .agg(F.min("first").alias("first"), F.sum("n").alias("n"), F.collect_list("salt").alias("salts"))
+        .filter("n > 1")
+        .select(*key, "first", F.explode("salts").alias("salt"))
+    )
+    return found.join(firsts, [*key, "salt"]).filter(
         (F.col("row") != F.col("first.row")) | (F.col("start") != F.col("first.start"))
     ).select("row", "start", "size")
 
