@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import collections
+import functools
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -259,11 +262,75 @@ def test_bin_completion_is_optimal_on_small_cases():
             rooms.pop()
 
         place(0, [])
-        got = packing.complete_bins(sizes, 100)
+        got, proved = packing.complete_bins(sizes, 100, max_work=None)
+        assert proved
         assert sorted(x for b in got for x in b) == sorted(sizes) and all(sum(b) <= 100 for b in got)
         assert len(got) == best[0], sizes
 
 
+def test_bin_completion_is_optimal_where_best_fit_is_not():
+    """Against every way to fill bins, on lengths that best fit packs badly."""
+    rng, missed = random.Random(1), 0
+    for _ in range(300):
+        sizes = [rng.choice((11, 13, 17, 19, 23, 29, 31, 37, 41)) for _ in range(9)]
+        got, proved = packing.complete_bins(sizes, 60, max_work=None)
+        counts = {x: sizes.count(x) for x in sizes}
+        first = len(packing.best_fit(sorted(counts, reverse=True), counts, 60))
+
+        @functools.lru_cache(maxsize=None)
+        def fewest(rest):
+            if not rest:
+                return 0
+            others = range(1, len(rest))
+            return 1 + min(
+                fewest(tuple(x for i, x in enumerate(rest) if i and i not in chosen))
+                for n in range(len(rest))
+                for chosen in itertools.combinations(others, n)
+                if rest[0] + sum(rest[i] for i in chosen) <= 60
+            )
+
+        assert proved and len(got) == fewest(tuple(sorted(sizes, reverse=True))) >= packing.lower_bound(sizes, 60)
+        missed += first > len(got)
+    assert missed
+
+
+def test_bin_completion_packs_triplets():
+    """Triplets that fill their bins exactly, where best fit needs several bins more."""
+    for seed in range(5):
+        rng, sizes = random.Random(seed), []
+        for _ in range(25):
+            a = rng.randint(780, 1000)
+            b = rng.randint(410, (2048 - a) // 2)
+            sizes += [a, b, 2048 - a - b]
+        counts = {x: sizes.count(x) for x in sizes}
+        assert len(packing.best_fit(sorted(counts, reverse=True), counts, 2048)) > 26
+        got, proved = packing.complete_bins(sizes, 2048)
+        assert proved and len(got) == 25
+        assert sorted(x for b in got for x in b) == sorted(sizes) and {sum(b) for b in got} == {2048}
+
+
+def test_fillings_are_all_that_are_undominated():
+    rng = random.Random(3)
+    for _ in range(200):
+        sizes = [rng.randint(1, 12) for _ in range(7)]
+        counts, room, spare = {x: sizes.count(x) for x in sizes}, rng.randint(5, 25), rng.randint(0, 6)
+        subsets = {
+            tuple(sorted(c, reverse=True)) for n in range(8) for c in itertools.combinations(sizes, n)
+        }
+
+        def dominated(f):
+            out = set((collections.Counter(sizes) - collections.Counter(f)).elements())
+            parts = [p for n in range(len(f) + 1) for p in itertools.combinations(f, n)]
+            return any(
+                sum(p) <= x <= sum(p) + room - sum(f) and (x > sum(p) or len(p) > 1) for p in parts for x in out
+            )
+
+        want = {f for f in subsets if room - spare <= sum(f) <= room and not dominated(f)}
+        got = [f for f in packing.fillings(counts, room, spare) if f is not None]
+        assert len(got) == len(set(got))
+        assert set(got) == want or (got == [(room,)] and room in sizes)
+
+
 # -- line runs
 
 
@@ -383,7 +450,8 @@ def test_simhash_query_on_the_tables(spark, sf_dir):
 
 
 @pytest.mark.parametrize("block", [3, 8192])
-def test_simhash_links_match_brute_force(spark, block):
+@pytest.mark.parametrize("wide_from", [0, simhash.WIDE_FROM])
+def test_simhash_links_match_brute_force(spark, block, wide_from):
     rng = random.Random(3)
     fps = {0}
     for _ in range(12):
@@ -394,7 +462,7 @@ def test_simhash_links_match_brute_force(spark, block):
                 centre ^= 1 << rng.randrange(64)
     fps = sorted(fps)
     signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
-    edges = simhash.links(spark.createDataFrame(signed, "fp long"), block=block).collect()
+    edges = simhash.links(spark.createDataFrame(signed, "fp long"), block=block, wide_from=wide_from).collect()
     mask = (1 << 64) - 1
     assert all(((e["a"] ^ e["b"]) & mask).bit_count() <= 4 for e in edges)
     got = {r["node"] & mask: r["root"] for r in simhash.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
