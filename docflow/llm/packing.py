@@ -52,6 +52,7 @@ VOCABULARY = "byte_bpe_50k.json"
 GROUP_TOKENS = 1 << 24
 MAX_PARTITIONS = 1 << 14
 MAX_WORK = 50_000
+LIVE = 64
 
 # What a search gets where no filling is left.
 END = (-1,)
@@ -259,10 +260,11 @@ def _search(lengths: list[int], capacity: int, max_work: int | None) -> tuple[li
             left[x] -= n
             state -= n * code[x]
 
-    def around(waste: int) -> tuple[int, Iterator[tuple[int, ...] | None], int]:
+    def around(waste: int) -> list:
+        """The longest piece, the fillings beside it, the waste so far, how many fillings were taken."""
         head = max(x for x, c in left.items() if c)
-        beside = left | {head: left[head] - 1}
-        return head, fillings(beside, capacity - head, (len(best) - 1) * capacity - total - waste), waste
+        beside = {x: c - (x == head) for x, c in left.items() if c}
+        return [head, fillings(beside, capacity - head, (len(best) - 1) * capacity - total - waste), waste, 0]
 
     stack = [around(0)]
     while stack and len(best) > bound:
@@ -271,7 +273,13 @@ def _search(lengths: list[int], capacity: int, max_work: int | None) -> tuple[li
         work += 1
         if max_work is not None and work > max_work:
             return best, False
-        head, tries, waste = stack[-1]
+        level = stack[-1]
+        head, tries, waste, taken = level
+        if tries is None:
+            tries = level[1] = around(waste)[1]
+            for _ in range(taken):
+                next(tries, END)
+        level[3] += 1
         filling = next(tries, END)
         if filling is None:
             continue
@@ -287,6 +295,9 @@ def _search(lengths: list[int], capacity: int, max_work: int | None) -> tuple[li
             best = [list(b) for b in path]
         elif after < dead.get(state, after + 1):
             stack.append(around(after))
+            # A search can be thousands of bins deep; fillings further up are made again when wanted.
+            if len(stack) > LIVE:
+                stack[-LIVE - 1][1] = None
     return best, True
 
 
