@@ -267,9 +267,11 @@ def _grouped(rows: DataFrame, lang_col: str, source_col: str, min_rows: int) ->
     return rows.join(sizes, "_fine", "left").withColumn("_whole", whole), few
 
 
-def _fitting(rows: DataFrame) -> DataFrame:
+def _fitting(rows: DataFrame, few: bool) -> DataFrame:
     """``(group, v0..)``: the rows of every group in use, all of a language in its own."""
     used = rows.filter("group is not null").select("group").distinct()
+    # As many as the groups at most, so counted: their rows need not meet in one task.
+    used = F.broadcast(used) if few else used
     levels = F.explode(F.array("_fine", "_coarse", "_whole")).alias("group")
     return rows.filter("n_words > 0").select(levels, *VECTOR).join(used, "group", "left_semi")
 
@@ -294,7 +296,7 @@ def judge(
     columns = tuple(dict.fromkeys((id_col, lang_col, source_col, *keep)))
     rows = staged(with_statistics(docs, columns, text_col), "quality-statistics")
     rows, few = _grouped(rows, lang_col, source_col, min_rows)
-    fitted = mcd(staged(_fitting(rows), "quality-vectors"), support, few)
+    fitted = mcd(staged(_fitting(rows, few), "quality-vectors"), support, few)
     fitted = F.broadcast(fitted) if few else fitted
     judged = rows.join(fitted, "group", "left").withColumn("distance", F.when(F.col("n_words") > 0, _distance()))
     fits = F.coalesce(F.col("distance") <= chi2_quantile(cut, _P), F.lit(True))
