@@ -259,7 +259,9 @@ def score(
             def answer(sort: str, side: str) -> np.ndarray:
                 return np.concatenate([unshrink(x, "<i8") for x in answered.column(f"{sort}_{side}").to_pylist() if x])
 
-            own_counts = (own(words, len(hashes)), own(pair_of, len(pair_hashes)), own(before, len(hashes) + 1))
+            own_words = own(words, len(hashes))
+            # The word before counts wherever it stands, at the document's end too.
+            own_counts = (own_words, own(pair_of, len(pair_hashes)), np.concatenate([[0], own_words[:-1]]))
             is_target = flags[document]
             for side, mine, factor, n in (
                 ("target", is_target, 1.0, n_target),

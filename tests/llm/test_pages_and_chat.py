@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
+import re
+from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -100,6 +105,54 @@ def test_lm_scores_tell_the_target(spark):
     assert lm_score.score(spark.createDataFrame([], "doc_id long, text string, good boolean"), "good").collect() == []
 
 
+def plain_lm_scores(rows, weight=lm_score.BIGRAM_WEIGHT):
+    """(words, target loss, background loss) of each row, every count taken anew from all other rows."""
+    texts = [re.findall("[0-9a-z\x80-\U0010ffff]+|[!-/:-@\\[-`{-~]", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for _, t, _ in rows]
+    sides = [bool(good) for *_, good in rows]
+    vocabulary = max(len({w for t in texts for w in t}), 1)
+    totals = [sum(len(t) for t, s in zip(texts, sides) if s == side) for side in (True, False)]
+    scales = [1.0, totals[0] / totals[1] if all(totals) else 1.0]
+    found = []
+    for i, text in enumerate(texts):
+        means = []
+        for side, scale in zip((True, False), scales):
+            others = [t for j, t in enumerate(texts) if j != i and sides[j] == side]
+            words = Counter(w for t in others for w in t)
+            pairs = Counter(p for t in others for p in zip(t, t[1:]))
+            n, loss = sum(map(len, others)), 0.0
+            for at, word in enumerate(text):
+                chance = (words[word] * scale + 1) / (n * scale + vocabulary)
+                first = text[at - 1] if at else None
+                if first is not None and words[first]:
+                    chance = weight * pairs[first, word] / words[first] + (1 - weight) * chance
+                loss -= math.log(chance)
+            means.append(loss / len(text) if text else None)
+        found.append((len(text), *means))
+    return found
+
+
+@pytest.mark.parametrize("chunk_words", [1, 25, lm_score.CHUNK_WORDS])
+@pytest.mark.parametrize("good", [(True, False, None), (True,), (False, None)])
+def test_lm_scores_match_plain_python(spark, chunk_words, good):
+    """Nulls, empty texts, a long one, repeated rows and ids, further columns; one side without documents."""
+    rng = random.Random(7)
+    vocabulary = ["Ab", "ab", "c!", "d-e", "ÉÜ", "éü", "x", "9", "𝒳y"]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 12))) for _ in range(24)]
+    texts += [None, "", " \n", "once", "once", "a b a", " ".join(rng.choices(vocabulary, k=3000)), texts[0], texts[0]]
+    rows = [(i % 20, t, good[i % len(good)]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(*r, "own") for r in rows], "doc_id long, text string, good boolean, flag string")
+    got = lm_score.score(docs, "good", chunk_words=chunk_words, part_bytes=64).collect()
+    want = [(r[0], *p) for r, p in zip(rows, plain_lm_scores(rows))]
+
+    def numbers(row):
+        return tuple(-1.0 if x is None else float(x) for x in row)
+
+    names = ("doc_id", "n_words", "target_loss", "background_loss")
+    rows_got = sorted(numbers(r[name] for name in names) for r in got)
+    assert np.allclose(rows_got, sorted(map(numbers, want)), rtol=0, atol=1e-9)
+    assert all(r["score"] is None if not r["n_words"] else abs(r["score"] - r["target_loss"] + r["background_loss"]) < 1e-12 for r in got)
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     last = None
