@@ -42,3 +42,12 @@ def test_corpus_from_files_keeps_all_rows(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(want)
     # The names and the texts come from one reading of the files.
     assert "Scan text" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_log_is_compressed(spark, tmp_path):
+    rows = [("2024-03-01T09:00:00.000000+00:00", "reviewer one", "d", "city", "approve", None, f"v{i}") for i in range(4000)]
+    append_audit(spark.createDataFrame(rows, AUDIT_SCHEMA), str(tmp_path / "log"))
+    size = sum(f.stat().st_size for f in (tmp_path / "log").rglob("part-*"))
+    assert 0 < size < 4000 * 20
+    got = read_audit(spark, str(tmp_path / "log")).collect()
+    assert sorted(map(tuple, got)) == sorted(rows)
