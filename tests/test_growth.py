@@ -51,3 +51,22 @@ def test_the_log_is_compressed(spark, tmp_path):
     assert 0 < size < 4000 * 20
     got = read_audit(spark, str(tmp_path / "log")).collect()
     assert sorted(map(tuple, got)) == sorted(rows)
+
+
+def test_certificates_are_dealt_by_number(spark, tmp_path, monkeypatch):
+    day = datetime.datetime(2024, 1, 2)
+    tables = {
+        "orders": ([(k, 1, "O", 1.5, day, "1-URGENT") for k in range(60)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "customer": ([(1, "c", 1)], "c_custkey long, c_name string, c_nationkey long"),
+        "nation": ([(1, "n", 1)], "n_nationkey long, n_name string, n_regionkey long"),
+        "region": ([(1, "AFRICA")], "r_regionkey long, r_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(sd, "ROWS_PER_TASK", 5)
+    # Also behind a join that deals its rows itself.
+    monkeypatch.setattr(fx, "tables", lambda spark, at, *names: [spark.read.parquet(f"{at}/{n}.parquet").hint("merge") for n in names])
+    counts = fx.certificates(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in counts) == 60 and len(counts) >= 12
+    assert max(r["count"] for r in counts) <= 10
