@@ -19,6 +19,7 @@ from docflow.operators import validate as va
 from docflow.operators.extract import pack_fields, route
 from docflow.operators.review import DEFAULT_THRESHOLD, clean, evaluate, queue_summary, to_review
 from docflow.sources.answers import compact_answers, live_parts, read_answers, touched_prefixes
+from docflow.sources.documents import tasks_for
 from docflow.sources.scratch import staged
 from docflow.sources.truth import normalize_truth, truth_rejects
 from docflow.spec import Spec
@@ -103,11 +104,13 @@ def accuracy_report(
     """Scores against a key of strings, and everything that kept a row from a score.
 
     A name of the key that several documents bear is not scored against any of them,
-    but listed in ``repeated``.
+    but listed in ``repeated``. Both sides of the join are dealt by number of rows: they
+    are wide, and compress so well that tasks of so many bytes would hold ever more.
     """
+    tasks = max(tasks_for(evaluated), tasks_for(truth))
     repeated = sc.repeated_names(evaluated, truth)
-    unique = evaluated.join(repeated, "file", "left_anti")
-    scored = sc.with_truth(unique, normalize_truth(truth, spec), spec)
+    unique = evaluated.repartition(tasks, "file").join(repeated, "file", "left_anti")
+    scored = sc.with_truth(unique, normalize_truth(truth.repartition(tasks, "file"), spec), spec)
     accuracy = sc.field_accuracy(scored, spec)
     return AccuracyReport(
         accuracy=accuracy,

@@ -70,3 +70,13 @@ def test_certificates_are_dealt_by_number(spark, tmp_path, monkeypatch):
     counts = fx.certificates(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in counts) == 60 and len(counts) >= 12
     assert max(r["count"] for r in counts) <= 10
+
+
+def test_scores_are_dealt_by_number(spark, monkeypatch):
+    monkeypatch.setattr(sd, "ROWS_PER_TASK", 2)
+    evaluated = records(spark, {f"d{i}": FIELDS_A for i in range(40)}).withColumn("no_extraction", F.lit(False))
+    truth = evaluated.select("file", F.lit("A").alias("layout"), *[F.lit("other").alias(n) for n in reports.CERTIFICATES.names])
+    report = reports.accuracy_report(evaluated, truth)
+    tasks = report.mismatches.select("file", F.spark_partition_id().alias("task")).distinct()
+    assert tasks.select("file").distinct().count() == 40
+    assert tasks.select("task").distinct().count() > 8
