@@ -44,6 +44,35 @@ def test_corpus_from_files_keeps_all_rows(spark, tmp_path):
     assert "Scan text" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_the_driver_does_not_list_the_corpus(spark, tmp_path, monkeypatch):
+    """Files are rows of a table that the tasks write; they are dealt by number and by size."""
+    sizes = {f"{folder}/{i}.txt": 50 if i else 2000 for folder in ("a", "b/c", "b/d", "e") for i in range(60)}
+    for name, size in sizes.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x" * size)
+    for files, size, tasks in ((10_000, 1 << 27, 4), (20, 1 << 27, 12), (10_000, 1000, 20)):
+        monkeypatch.setattr(sd, "FILES_PER_TASK", files)
+        monkeypatch.setattr(sd, "BYTES_PER_TASK", size)
+        docs = sd.read_corpus(spark, str(tmp_path))
+        assert {r.file: len(r.text) for r in docs.collect()} == sizes
+        assert docs.rdd.getNumPartitions() == tasks
+        # Of the files that the driver knows none is a document's.
+        known = docs.inputFiles()
+        assert len(known) < 40 and all(name.endswith(".parquet") for name in known)
+
+
+def test_texts_are_moved_only_where_they_lie_unevenly(spark, tmp_path):
+    def plan(docs):
+        return docs._jdf.queryExecution().executedPlan().toString()
+
+    rows = spark.range(400).select("id", F.col("id").cast("string").alias("text"))
+    for i, (parts, moved) in enumerate([(rows.repartition(16), False), (rows.coalesce(1), True), (rows.limit(0), False)]):
+        parts.write.parquet(str(tmp_path / str(i)))
+        docs = sd.evened(spark.read.parquet(str(tmp_path / str(i))).select("text"), 4)
+        assert ("Exchange RoundRobinPartitioning(4)" in plan(docs)) == moved
+        assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, parts.select("text").collect()))
+
+
 def test_the_log_is_compressed(spark, tmp_path):
     rows = [("2024-03-01T09:00:00.000000+00:00", "reviewer one", "d", "city", "approve", None, f"v{i}") for i in range(4000)]
     append_audit(spark.createDataFrame(rows, AUDIT_SCHEMA), str(tmp_path / "log"))

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import gzip
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from docflow.certificate import CERTIFICATES
@@ -70,6 +72,49 @@ def test_file_names_are_decoded_and_repeats_listed(spark, tmp_path):
     assert sorted(tuple(r) for r in repeated_files(twice).collect()) == [(f"p/{n}", 2) for n in names]
 
 
+def test_files_are_read_as_by_sparks_reader(spark, tmp_path):
+    """Odd names and contents; packed files; files that Hadoop's checksums guard."""
+    names = ["a.txt", ".hidden", "_left", "_k=v", "_metadata", "_metadata=x", "_common_metadata", "c._COPYING_", "é [b]{c}*?#%.gzi"]
+    for folder in ("", "folder=x%2Fy", "_out", "_k=w", "_metadata2", ".out", "d._COPYING_", "deep/er", "empty"):
+        (tmp_path / "in" / folder).mkdir(parents=True, exist_ok=True)
+        for i, name in enumerate(names if folder != "empty" else []):
+            content = [b"\xef\xbb\xbfbom\r\n\n", b"\xff\xfe not UTF-8", b"a\0b", b"\xed\xa0\x80\n", b" "][i % 5]
+            (tmp_path / "in" / folder / name).write_bytes(content + folder.encode())
+        (tmp_path / "in" / folder / "blank.txt").touch()
+    (tmp_path / "in" / "link.txt").symlink_to("a.txt")
+    (tmp_path / "in" / "linked").symlink_to("deep")
+    (tmp_path / "in" / "broken").symlink_to("nowhere")
+
+    def rows(docs):
+        return sorted(map(tuple, docs.select("file", F.hex("text"), F.length("text")).collect()))
+
+    def both():
+        ours = read_corpus(spark, str(tmp_path / "in"))
+        place = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+        file = F.substring_index(place, f"{tmp_path}/in/", -1).alias("file")
+        theirs = spark.read.text(str(tmp_path / "in"), wholetext=True, recursiveFileLookup=True)
+        return ours, rows(ours), rows(theirs.select(file, F.col("value").alias("text")))
+
+    ours, got, want = both()
+    assert got == want and len(got) > 20 and ours.dtypes == [("file", "string"), ("text", "string")]
+    for name in ("deep/p.txt.gz", "deep/er/P.GZIP"):
+        (tmp_path / "in" / name).write_bytes(gzip.compress(b"packed"))
+        ours, got, want = both()
+        assert got == want and (name, b"packed".hex().upper(), 6) in got
+        (tmp_path / "in" / name).write_bytes(b"")
+
+    at = tmp_path / "sums"
+    spark.createDataFrame([("x" * 3000,)], "text string").coalesce(1).write.text(str(at))
+    (file,) = at.glob("part-*")
+    assert read_corpus(spark, str(at)).first().text == "x" * 3000 + "\n" and (at / f".{file.name}.crc").exists()
+    file.write_bytes(file.read_bytes()[:-2] + b"y\n")
+    with pytest.raises(Exception, match="checksum error"):
+        read_corpus(spark, str(at)).collect()
+    assert read_corpus(spark, str(tmp_path / "in" / "empty")).count() == 0
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_corpus(spark, str(tmp_path / "none"))
+
+
 def test_times_in_a_zone_with_a_gap(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
